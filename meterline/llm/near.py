@@ -193,12 +193,15 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = 80, m: int = COL
     rare = sets.join(rest, "id").select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("df"))
     # a set of n shares one of its n - ceil(n * percent / 100) + 1 rarest with any set it links to
     ranked = tokens.join(rare, "s").groupBy("id", "comp", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
-    prefix = ranked.select("id", "comp", "n", F.explode(F.slice("o", 1, F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)).alias("t")).where("t.df > 1").select("id", "comp", "n", F.col("t.s").alias("s"))
+    start = F.posexplode(F.slice("o", 1, F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)).alias("pos", "t")
+    prefix = ranked.select("id", "comp", "n", start).where("t.df > 1").select("id", "comp", "n", "pos", F.col("t.s").alias("s"))
     prefix = scratch.keep(prefix, "prefix")
     mixed = prefix.groupBy("s").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("s")
     cut = prefix.join(mixed, "s")
-    other = cut.select("s", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
-    cross = cut.join(other, "s").where(f"comp < cb and 100 * least(n, nb) >= {percent} * greatest(n, nb)").select(F.col("id").alias("a"), "b").distinct()
+    other = cut.select("s", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    # at the first shingle that two sets share, what follows must still reach the wanted overlap
+    reach = f"{100 + percent} * least(n - pos, nb - pb) >= {percent} * (n + nb)"
+    cross = cut.join(other, "s").where(f"comp < cb and 100 * least(n, nb) >= {percent} * greatest(n, nb) and {reach}").select(F.col("id").alias("a"), "b").distinct()
     more = verified(cross, "more")
     if not more.isEmpty():
         joined = more.join(comp, more["a"] == comp["id"], "left").select(F.coalesce("comp", "a").alias("a"), "b").join(comp, F.col("b") == comp["id"], "left").select("a", F.coalesce("comp", "b").alias("b"))

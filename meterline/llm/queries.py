@@ -89,8 +89,8 @@ s AS (
   UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4
 ),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 85 * (x.n + y.n - both)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
 r(doc_id, top) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.top FROM r JOIN l ON l.a = r.doc_id),
 c AS (SELECT doc_id, min(top) AS component_id FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
