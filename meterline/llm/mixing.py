@@ -104,15 +104,15 @@ def mix(docs: DataFrame, weights: dict[tuple, float], domain: Column, budget: fl
     goal = int(total * budget) if budget <= 1 else int(budget)
     share = budgets(leaves, weights, goal, epochs)
     plan = [(*x[:3], i, int(b // x[3]) if x[3] else 0, int(b % x[3]) if x[3] else 0) for i, (x, b) in enumerate(zip(leaves, share, strict=True))]
-    schema = "d string, l string, s string, leaf int, full int, rest long"
+    schema = "mix_d string, mix_l string, mix_s string, leaf int, mix_full int, rest long"
     table = spark.createDataFrame(plan, schema)
 
     def place(df: DataFrame, doc: Column, lang: Column, source: Column) -> DataFrame:
         """Adds the leaf's plan and the document's place ``h`` in the epoch that is cut."""
-        got = df.join(F.broadcast(table), F.col("domain_").eqNullSafe(F.col("d")) & lang.eqNullSafe(F.col("l")) & source.eqNullSafe(F.col("s")))
-        return got.withColumn("h", F.xxhash64(F.lit(seed), F.col("full"), doc))
+        got = df.join(F.broadcast(table), F.col("domain_").eqNullSafe(F.col("mix_d")) & lang.eqNullSafe(F.col("mix_l")) & source.eqNullSafe(F.col("mix_s")))
+        return got.withColumn("mix_h", F.xxhash64(F.lit(seed), F.col("mix_full"), doc))
 
-    at = place(narrow, F.col("doc"), F.col("lang_"), F.col("source_")).where("rest > 0").select("leaf", "rest", "h", "tokens_")
+    at = place(narrow, F.col("doc"), F.col("lang_"), F.col("source_")).where("rest > 0").select("leaf", "rest", F.col("mix_h").alias("h"), "tokens_")
     bits = min(RANGE_BITS, max(1, (max(1, rows // 1000).bit_length() + 1) // 2))
     # a hash's range at two levels; the range in which a leaf's budget ends is opened row by row
     top, low = F.shiftright("h", 64 - bits), F.shiftright("h", 64 - 2 * bits)
@@ -122,9 +122,9 @@ def mix(docs: DataFrame, weights: dict[tuple, float], domain: Column, budget: fl
     inner = crossing(fine.join(F.broadcast(coarse), ["leaf", "x"]), ["leaf", "x"], "y").where("b0 + before < rest and b0 + before + t >= rest").select("leaf", "y", (F.col("b0") + F.col("before")).alias("b1"))
     last = at.withColumn("y", low).join(F.broadcast(inner), ["leaf", "y"]).groupBy("leaf", "rest", "y", "b1", "h").agg(F.sum("tokens_").alias("t"))
     cut = crossing(last, ["leaf", "y"], "h").where("b1 + before < rest").groupBy("leaf").agg(F.max("h").alias("cutoff"))
-    table = table.join(F.broadcast(scratch.keep(cut, "cut")), "leaf", "left").select("d", "l", "s", "full", "cutoff")
+    table = table.join(F.broadcast(scratch.keep(cut, "cut")), "leaf", "left").select("mix_d", "mix_l", "mix_s", "mix_full", F.col("cutoff").alias("mix_cutoff"))
     out = place(own, F.col("doc_id").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"))
-    took = F.coalesce(F.col("h") <= F.col("cutoff"), F.lit(False))
-    out = out.withColumns({"epochs_": F.col("full"), "partial_": took, "taken_": F.col("tokens_") * (F.col("full") + took.cast("int"))})
+    took = F.coalesce(F.col("mix_h") <= F.col("mix_cutoff"), F.lit(False))
+    out = out.withColumns({"epochs_": F.col("mix_full"), "partial_": took, "taken_": F.col("tokens_") * (F.col("mix_full") + took.cast("int"))})
     scratch.drop("narrow", "ranges")
-    return out.drop("d", "l", "s", "full", "cutoff", "h")
+    return out.drop("mix_d", "mix_l", "mix_s", "mix_full", "mix_cutoff", "mix_h")
