@@ -205,8 +205,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = False)
     first = scratch.keep(scan.where(F.col("n_words") >= window).groupBy("q1", "q2").agg(F.min("doc_id").alias("rep"), F.max("n_words").alias("n"), F.first("anchors").alias("anchors")), "first")
     occ = first.select(F.col("rep").alias("doc_id"), "q1", "q2", F.explode("anchors").alias("h"))
     again = occ.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    hits = scratch.keep(occ.join(again, "h").groupBy("doc_id", "q1", "q2").agg(F.collect_set("h").alias("hits")), "hits")
-    del occ
+    held = first.select(F.col("rep").alias("doc_id"), "q1", "q2", F.explode(F.array_distinct("anchors")).alias("h"))
+    hits = scratch.keep(held.join(again, "h").groupBy("doc_id", "q1", "q2").agg(F.collect_set("h").alias("hits")), "hits")
     # texts of documents with a repeated block; a document is its id and its words' hash
     named = src.join(scan.select("doc_id", "q1", "q2").join(hits, ["doc_id", "q1", "q2"]).distinct(), "doc_id")
     wide = named.select("doc_id", "q1", "q2", "text", "hits")
