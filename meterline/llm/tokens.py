@@ -20,7 +20,7 @@ from meterline.llm.words import U64, Words, mix, utf8
 
 _ODD = re.compile("[\x85\xa0  -     　]|[\\s]\\Z|<\\|")
 #: Units remembered by a worker; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 class Encoder:

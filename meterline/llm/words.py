@@ -57,7 +57,7 @@ def lists(col) -> tuple[np.ndarray, np.ndarray]:
     return col.flatten().to_numpy(zero_copy_only=False), off - off[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into row ranges of at most ``most`` text bytes (one row at least)."""
     col = batch.column(column)
     if len(col) == 0:
