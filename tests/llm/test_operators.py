@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.llm import fingerprint, html, jpeg, langid, mixing, near, packing, quality, queries, substring, urls
+from meterline.llm import fingerprint, html, jpeg, langid, mixing, near, packing, quality, queries, sample, substring, urls
 from meterline.llm.words import Words
 
 SF = "/root/testdata/sf0.001"
@@ -239,6 +239,24 @@ def test_trees_learn_hyphens(spark):
     assert np.mean(hit == np.array([r["label"] for r in rows])) > 0.95
 
 
+def test_sample_is_the_smallest_hashes(spark):
+    rows = spark.range(5000).selectExpr("id div 2 as doc_id", "1 as quality").repartition(7)
+    want = [r[0] for r in rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(300).collect()]
+    assert [r["doc_id"] for r in sample.smallest(rows, "doc_id", 300)] == want
+    assert len(sample.smallest(rows, "doc_id", 4000)) == 2500
+    assert sample.smallest(rows.limit(0), "doc_id", 5) == []
+
+
+def test_trees_on_held_out_urls(spark):
+    labelled = urls.seed_labels(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).distinct()
+    model = urls.train(labelled.where("pmod(xxhash64(url), 3) <> 0"))
+    rows = labelled.where("pmod(xxhash64(url), 3) = 0").collect()
+    bad = model.unwanted([r["url"] for r in rows])
+    hit = sum((b >= 0.5) == r["label"] for b, r in zip(bad, rows, strict=True))
+    print("held out", hit, len(rows), "unwanted", sum(r["label"] for r in rows), "found", sum(b >= 0.5 and r["label"] for b, r in zip(bad, rows, strict=True)))
+    assert hit >= 0.9 * len(rows)
+
+
 def test_budgets():
     r = np.random.default_rng(3)
     for _ in range(200):
