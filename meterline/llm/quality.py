@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.llm.sample import smallest
 from meterline.llm.words import Words, slices
 from meterline.plans.cluster import ship
 
@@ -155,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 4000, folds: int = 5,
     ship(docs.sparkSession)
     held = F.crc32(F.col("doc_id").cast("string")) % folds == 0
     pick = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").where(~held)
-    known = pick.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most).collect()
+    known = smallest(pick, "doc_id", most)
     quality = {r["doc_id"]: r["quality"] for r in known}
     if not quality:
         return fit([], np.zeros(0))
