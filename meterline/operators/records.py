@@ -2,8 +2,9 @@
 
 Records carry their position; a record is judged against locks made by accepted records
 before it.  Measurements whose fields all come with one natural type (nearly all) need no
-order: one distributed pass finds those types, and every record is then encoded in parallel.
-The others are folded in order, one task a measurement, streaming over its sorted records.
+order: one distributed pass finds those types.  For the others, parallel rounds find the few
+records at which their locks grow.  Every record is then encoded in parallel, by the locks
+that stood before it.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ import math
 import pickle
 import re
 import time
-from collections.abc import Iterable, Mapping
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, is_dataclass
 from datetime import UTC, date, datetime
 from typing import Annotated, Any, get_args, get_origin, get_type_hints
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -198,7 +201,7 @@ class Encoder:
             if s.non_finite == "error":
                 raise Rejected("non_finite", "a field is not finite", key)
             return None
-        forced = target is None and s.int_as_float and kind == "integer"
+        forced = target in (None, "float") and s.int_as_float and kind == "integer"
         goal = target or ("float" if forced else kind)
         clash = Rejected("type_conflict", f"{kind} written to {goal}", key)
         if goal != kind:
@@ -415,6 +418,15 @@ def _passes(v, p: Predicate) -> bool:
     return p.regex is None or isinstance(v, str) and re.search(p.regex, v) is not None
 
 
+def _packed(seq: int, r) -> tuple[int, str | None, bytes]:
+    """A record's position, measurement (null for raw lines and what is no record) and pickled body."""
+    if hasattr(type(r), "__meterline__"):
+        r = _of_model(r)
+    name = r.measurement if isinstance(r, Point) else r.get("measurement") if isinstance(r, Mapping) else None
+    body = dict(r) if isinstance(r, Mapping) else r
+    return seq, str(getattr(name, "value", name)) if name is not None else None, pickle.dumps(body)
+
+
 def records(spark: SparkSession, data: Iterable, chunk: int = 25_000) -> DataFrame:
     """Python records as rows (seq, measurement, body): chunked, positions counted over all chunks."""
     ship(spark)
@@ -422,15 +434,24 @@ def records(spark: SparkSession, data: Iterable, chunk: int = 25_000) -> DataFra
         data = [data]
     out, seq, it = None, 0, iter(data)
     while part := list(itertools.islice(it, chunk)):
-        rows = []
-        for r in part:
-            name = r.measurement if isinstance(r, Point) else type(r).__meterline__[0] if hasattr(type(r), "__meterline__") else r.get("measurement") if isinstance(r, Mapping) else None
-            plain = _of_model(r) if hasattr(type(r), "__meterline__") else dict(r) if isinstance(r, Mapping) else r
-            rows.append((seq, str(getattr(name, "value", name)) if name is not None else None, bytearray(pickle.dumps(plain))))
-            seq += 1
-        df = spark.createDataFrame(rows, "seq long, measurement string, body binary")
+        df = spark.createDataFrame([_packed(seq + i, r) for i, r in enumerate(part)], ROWS)
+        seq += len(part)
         out = df if out is None else out.unionAll(df)
-    return out if out is not None else spark.createDataFrame([], "seq long, measurement string, body binary")
+    return out if out is not None else spark.createDataFrame([], ROWS)
+
+
+def record_rows(df: DataFrame, make: Callable[[dict], Any], seq: str) -> DataFrame:
+    """Rows of a DataFrame as records: ``make`` turns a row's dict into a record on the executors; ``seq`` orders them."""
+    ship(df.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            rows = [_packed(r[seq], make(r)) for r in batch.to_pylist()]
+            cols = list(zip(*rows, strict=True)) or [(), (), ()]
+            kinds = (pa.int64(), pa.string(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["seq", "measurement", "body"])
+
+    return df.mapInArrow(run, ROWS)
 
 
 def _kinds(settings: Settings):
@@ -466,26 +487,76 @@ def _kinds(settings: Settings):
     return run
 
 
+ROWS = "seq long, measurement string, body binary"
 OUT = "seq long, measurement string, n int, line string, code string, key string, message string"
 
 
-def _encode(encoder: Encoder, rows: Iterable[tuple[int, bytes]]) -> pd.DataFrame:
-    out = []
-    for seq, body in rows:
-        r = pickle.loads(body)
-        try:
-            if isinstance(r, (str, bytes)):
-                out += [(seq, None, i, x, None, None, None) for i, x in enumerate(encoder.raw(r))]
-            else:
-                name, line = encoder.record(r)
-                out.append((seq, str(name), 0, line, None, None, None))
-        except Rejected as e:
-            out.append((seq, e.measurement, 0, None, e.code, e.key, str(e)))
-    return pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
+def _encoded(encoder: Encoder, seq: int, body: bytes) -> list[tuple]:
+    r = pickle.loads(body)
+    try:
+        if isinstance(r, (str, bytes)):
+            return [(seq, None, i, x, None, None, None) for i, x in enumerate(encoder.raw(r))]
+        name, line = encoder.record(r)
+        return [(seq, str(name), 0, line, None, None, None)]
+    except Rejected as e:
+        return [(seq, e.measurement, 0, None, e.code, e.key, str(e))]
+
+
+class _Locks:
+    """Locks of one measurement's contested keys as they grow: ``states[i]`` judges records up to ``at[i]``."""
+
+    def __init__(self, contested: set[str]):
+        self.contested, self.at, self.states = contested, [], [({}, {})]
+
+    def before(self, seq: int) -> tuple[dict, dict]:
+        return self.states[bisect_left(self.at, seq)]
+
+
+def _grow(df: DataFrame, make: Callable[[], Encoder], locks: dict[str, _Locks]) -> None:
+    """Finds, in order, the accepted records that lock a contested key of their measurement.
+
+    Between two such records the locks stand still, so every round looks for the next one of
+    all measurements at once, in parallel; there are at most as many rounds as contested keys
+    of one measurement, and a round returns one row a measurement.
+    """
+    active = set(locks)
+    while active:
+
+        def run(frames, active=frozenset(active)):
+            enc = make()
+            fixed, found = enc.types, {}
+            for pdf in frames:
+                for seq, name, body in zip(pdf["seq"], pdf["measurement"], pdf["body"], strict=True):
+                    if name not in active:
+                        continue
+                    own = locks[name]
+                    if (own.at and seq <= own.at[-1]) or (name in found and seq >= found[name][0]):
+                        continue
+                    types, keys = own.states[-1]
+                    enc.types, enc.keys = fixed | types, dict(keys)
+                    try:
+                        enc.record(pickle.loads(body))
+                    except Rejected:
+                        continue
+                    new = [{mk: v for mk, v in x.items() if mk[0] == name and mk[1] in own.contested} for x in (enc.types, enc.keys)]
+                    if new != [types, keys]:
+                        found[name] = seq, pickle.dumps(tuple(new))
+            yield pd.DataFrame([(n, *x) for n, x in found.items()], columns=["measurement", "seq", "state"])
+
+        nearest = df.where(F.col("measurement").isin(sorted(active))).mapInPandas(run, "measurement string, seq long, state binary")
+        nearest = nearest.groupBy("measurement").agg(F.min("seq").alias("seq"), F.min_by("state", "seq").alias("state")).collect()
+        for r in nearest:
+            own = locks[r["measurement"]]
+            own.at.append(r["seq"])
+            own.states.append(pickle.loads(r["state"]))
+        active = {r["measurement"] for r in nearest}
 
 
 def encode_records(df: DataFrame, settings: Settings | None = None, types: dict[tuple[str, str], str] | None = None, now_ns: int | None = None) -> DataFrame:
-    """Lines and rejections of ``records``: seq, measurement, n (line of the record), line, code, key, message."""
+    """Lines and rejections of ``records``: seq, measurement, n (line of the record), line, code, key, message.
+
+    Records that share a ``seq`` are judged by the same locks.
+    """
     s, now = settings or Settings(), time.time_ns() if now_ns is None else now_ns
     types, tags = dict(types or {}), context_tags()
     declared = {(m, k) for m, schema in s.measurements.items() for k in schema.fields} | set(types)
@@ -494,28 +565,32 @@ def encode_records(df: DataFrame, settings: Settings | None = None, types: dict[
     for r in found:
         seen.setdefault((r["measurement"], r["key"]), set()).add(r["kind"])
     # more than one type, or tag and field at once: order decides
-    ordered = sorted({m for (m, k), kinds in seen.items() if (kinds & {"tag"} and len(kinds) > 1) or ((m, k) not in declared and len(kinds - {"tag"}) > 1)})
-    fixed = types | {mk: next(iter(kinds)) for mk, kinds in seen.items() if kinds and "tag" not in kinds and mk[0] not in ordered and mk not in declared}
+    contested: dict[str, set[str]] = {}
+    for (m, k), kinds in seen.items():
+        if ("tag" in kinds and len(kinds) > 1) or ((m, k) not in declared and len(kinds - {"tag"}) > 1):
+            contested.setdefault(m, set()).add(k)
+    fixed = types | {mk: next(iter(kinds)) for mk, kinds in seen.items() if "tag" not in kinds and len(kinds) == 1 and mk not in declared}
 
-    def parallel(frames):
-        for pdf in frames:
-            enc = Encoder(s, now, fixed, tags)
-            yield _encode(enc, zip(pdf["seq"], pdf["body"], strict=True))
+    def make() -> Encoder:
+        return Encoder(s, now, fixed, tags)
+
+    locks = {m: _Locks(keys) for m, keys in contested.items()}
+    # a declared type or one handed in is known before the first record
+    for m, own in locks.items():
+        own.states[0] = {mk: v for mk, v in types.items() if mk[0] == m and mk[1] in own.contested}, {}
+    _grow(df, make, locks)
 
-    def fold(frames):
-        enc, last = None, None
+    def run(frames):
         for pdf in frames:
-            for name, part in pdf.groupby("measurement", sort=False):
-                if name != last:
-                    enc, last = Encoder(s, now, types, tags), name
-                yield _encode(enc, zip(part["seq"], part["body"], strict=True))
-
-    raw = F.col("measurement").isNull()
-    some = F.coalesce(F.col("measurement").isin(ordered), F.lit(False)) & ~raw if ordered else F.lit(False)
-    out = df.where(~some).mapInPandas(parallel, OUT)
-    if ordered:
-        out = out.unionAll(df.where(some).repartition("measurement").sortWithinPartitions("measurement", "seq").mapInPandas(fold, OUT))
-    return out
+            plain, ordered, out = make(), make(), []
+            for seq, name, body in zip(pdf["seq"], pdf["measurement"], pdf["body"], strict=True):
+                if name in locks:
+                    grown, keys = locks[name].before(seq)
+                    ordered.types, ordered.keys = fixed | grown, dict(keys)
+                out += _encoded(ordered if name in locks else plain, seq, body)
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
+
+    return df.mapInPandas(run, OUT)
 
 
 def locked_types(df: DataFrame, settings: Settings | None = None) -> DataFrame:

@@ -298,21 +298,27 @@ def stamp_untimed_lines(spark, t):
     return t("orders").select("o_orderkey", F.concat(F.lit("o v="), "o_custkey", F.lit("i"), timed).alias("line")).select("o_orderkey", decode.stamp_untimed(F.col("line"), 7).alias("line"))
 
 
-def _variants(spark, t, mixed: bool) -> DataFrame:
-    """The first rows of events as Python records; with ``mixed`` every third value is an integer."""
-    rows = t("events").where("event_id < 600").orderBy("event_id").select("event_id", "user_id", "value", "event_type").collect()
-    return records.records(spark, ({"measurement": "e" if not mixed or r["event_id"] % 2 else "f", "tags": {"type": r["event_type"]}, "fields": {"id": r["event_id"], "v": int(r["value"]) if mixed and r["event_id"] % 3 == 0 else r["value"]}, "time": r["event_id"]} for r in rows))
+def _variants(t, mixed: bool) -> DataFrame:
+    """The events as records, a measurement for each type; with ``mixed`` measurements "e" and "f", every third value an integer."""
 
+    def make(r: dict) -> dict:
+        name = r["event_type"] if not mixed else "e" if r["event_id"] % 2 else "f"
+        value = int(r["value"]) if mixed and r["event_id"] % 3 == 0 else r["value"]
+        return {"measurement": name, "tags": {"type": r["event_type"]}, "fields": {"id": r["event_id"], "v": value}, "time": r["event_id"]}
 
-@query("SELECT 'e' AS measurement, k AS key, t AS kind FROM (VALUES ('id', 'integer'), ('v', 'float')) v(k, t)")
+    return records.record_rows(t("events").select("event_id", "value", "event_type"), make, "event_id")
+
+
+@query("""SELECT DISTINCT event_type AS measurement, k AS key, CASE k WHEN 'id' THEN 'integer' ELSE 'float' END AS kind
+ FROM (SELECT event_type, unnest(['id', 'v']) AS k, value FROM events) WHERE k = 'id' OR value IS NOT NULL""")
 def lock_uniform_types(spark, t):
-    return records.locked_types(_variants(spark, t, False)).select("measurement", "key", F.element_at("kinds", 1).alias("kind"))
+    return records.locked_types(_variants(t, False)).select("measurement", "key", F.element_at("kinds", 1).alias("kind"))
 
 
-@query("""SELECT event_id AS seq, CASE WHEN event_id % 2 = 1 OR event_id % 3 = 0 OR value = trunc(value) THEN NULL ELSE 'type_conflict' END AS code FROM events WHERE event_id < 600""")
+@query("""SELECT event_id AS seq, CASE WHEN event_id % 2 = 1 OR event_id % 3 = 0 OR value = trunc(value) THEN NULL ELSE 'type_conflict' END AS code FROM events""")
 def lock_mixed_fold(spark, t):
     # "f" starts with an integer, so its later fractions conflict; "e" starts with a float, so its integers are coerced
-    return records.encode_records(_variants(spark, t, True), now_ns=0).select("seq", "code")
+    return records.encode_records(_variants(t, True), now_ns=0).select("seq", "code")
 
 
 @query("""SELECT table_name, column_name, CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'INTEGER' THEN 'int' ELSE 'string' END AS data_type
@@ -443,12 +449,12 @@ def flux_string_upper(spark, t):
     return _flux(spark, t, '|> filter(fn: (r) => r._field == "value") |> map(fn: (r) => ({r with kind: strings.toUpper(v: r.event_type)})) |> group(columns: ["kind"]) |> count()')
 
 
-@query(f"SELECT event_type, epoch_us(ts) * 1000 AS time_ns, arg_max(value, event_id) AS value, arg_max(user_id, event_id) AS user_id FROM events GROUP BY 1, 2")
+@query("SELECT event_type, epoch_us(ts) * 1000 AS time_ns, arg_max(value, event_id) AS value, arg_max(user_id, event_id) AS user_id FROM events GROUP BY 1, 2")
 def store_roundtrip(spark, t):
     st = store.PointStore(spark, Scratch(spark, "store").root)
     points = _points(t)
     st.append(points.where("event_id % 2 = 0"), "events", ["event_type"], ["value", "user_id"], seq="event_id", batch=0)
-    st.append(points.where("event_id % 2 = 1"), "events", ["event_type"], ["value", "user_id"], seq="event_id", batch=0 + 1)
+    st.append(points.where("event_id % 2 = 1"), "events", ["event_type"], ["value", "user_id"], seq="event_id", batch=1)
     merged = store.last_write(st.log("events"), ["event_type", "time_ns"], ["value", "user_id"], F.col("write_seq.seq"))
     return merged
 
