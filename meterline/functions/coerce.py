@@ -41,7 +41,7 @@ def encode_value(kind: str, v: Column, target: str | None, settings: Settings) -
     """(text, reject code): null text without a code means the field is left out."""
     goal = target or locked_type(kind, settings)
     null = F.lit(None).cast("string")
-    forced = target is None and settings.int_as_float and kind == "integer"
+    forced = target in (None, "float") and settings.int_as_float and kind == "integer"
     if goal != kind and not settings.coerce and not forced:
         return null, F.when(v.isNotNull(), F.lit(CONFLICT))
     ok: Column = F.lit(True)
