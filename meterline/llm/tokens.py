@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import re
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -48,18 +49,18 @@ class Encoder:
         self.size = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _learn(self, key: int, text: str) -> int:
-        ids = self.one(text)
-        n, i = len(ids), len(self.known)
-        if self.used + n > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), n), np.uint32)])
-        if i >= len(self.at):
-            self.at, self.size = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.at, self.size))
-        self.ids[self.used : self.used + n] = ids
-        self.at[i], self.size[i] = self.used, n
-        self.used += n
-        self.known[key] = i
-        return i
+    def _learn(self, keys: list[int], texts: list[str]) -> None:
+        found = [self.one(x) for x in texts]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        i, total = len(self.known), int(n.sum())
+        if (short := self.used + total - len(self.ids)) > 0:
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), short), np.uint32)])
+        if (short := i + len(n) - len(self.at)) > 0:
+            self.at, self.size = (np.concatenate([x, np.zeros(max(len(x), short), np.int64)]) for x in (self.at, self.size))
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.at[i : i + len(n)], self.size[i : i + len(n)] = self.used + np.cumsum(n) - n, n
+        self.used += total
+        self.known.update(zip(keys, range(i, i + len(n)), strict=True))
 
     def rows(self, col) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the column's rows, and each row's first index in them."""
@@ -82,13 +83,12 @@ class Encoder:
             tag[i] = xxhash.xxh3_64_intdigest(data[before[i] : w.start[i]].tobytes())
         key = mix(w.hash + mix(tag + U64(1)))
         kinds, where, back = np.unique(key, return_index=True, return_inverse=True)
-        raw, known, got = data.tobytes(), self.known, np.empty(len(kinds), np.int64)
-        for j, k in enumerate(kinds.tolist()):
-            i = known.get(k)
-            if i is None:
-                p = where[j]
-                i = self._learn(k, raw[before[p] : w.end[p]].decode())
-            got[j] = i
+        keys, known = kinds.tolist(), self.known
+        new = [j for j, k in enumerate(keys) if k not in known]
+        if new:
+            raw, p = data.tobytes(), where[new]
+            self._learn([keys[j] for j in new], [raw[a:b].decode() for a, b in zip(before[p].tolist(), w.end[p].tolist(), strict=True)])
+        got = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
         unit = got[back]
         n, at = self.size[unit], self.at[unit]
         upto = np.concatenate([[0], np.cumsum(n)])
