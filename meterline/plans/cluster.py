@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -14,14 +15,18 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when its counted rows times the stated row width stay under this.
 BROADCAST_BYTES = 32 << 20
+#: Spark's switch for removing an execution's shuffle files when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped: dict[str, str] = {}
 _roots: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; in local mode alone a temporary one where unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _roots:
             _roots[app] = "file://" + tempfile.mkdtemp(prefix="meterline-")
@@ -61,9 +66,14 @@ class Scratch:
             return
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes ``df`` and returns it as a table scan."""
+        """Writes ``df`` and returns it as a table scan; the shuffle files it took are removed once it is written."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        was = self.spark.conf.get(FREE_SHUFFLES, None)
+        self.spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.unset(FREE_SHUFFLES) if was is None else self.spark.conf.set(FREE_SHUFFLES, was)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
