@@ -1,19 +1,23 @@
-"""Exact substring deduplication by relative Lempel-Ziv factors over a distributed window index.
+"""Exact substring deduplication by relative Lempel-Ziv parsing against a distributed index.
 
 Method.  The reference is every document, cut into blocks by content: each window of ``n``
 words belongs to the block named by its minimizer (the smallest hash among its ``GRAM``-word
-grams), so equal windows always meet in the same block.  Blocks that hold one occurrence
-only cannot contain a repeat and are never expanded.  In the others every window is indexed
-by its first occurrence (smallest doc_id, then smallest start).  A document is then factored
-greedily: a factor is extended word by word while the window at hand is indexed with an
-earlier occurrence; at a factor's boundaries every window that crosses them is looked up on
-its own, so breaking a factor never loses a repeat.  Factors of at least ``n`` words are the
-duplicate spans.
-
-Only minimizers (about one in eight words) and the windows of repeated blocks are shuffled;
-both are pre-aggregated before the shuffle, so a passage shared by a third of all documents
-costs each task one row for each of its windows.  Documents that equal an earlier one as a
-whole are settled by one hash and take no part.
+grams), so equal windows always meet in the same block.  Blocks with one occurrence cannot
+hold a repeat and are never expanded; in the others every window is indexed at the place
+where it occurs first (document, then word) under 128 bits of hash of its words.
+
+A document is then factored greedily.  A factor begins at the first window that the index
+holds at an earlier place, and is extended word by word while the next window is found at the
+next word of the same source; so it is ``n`` words or more, with a source document and word.
+At its end the windows that cross the boundary are looked up in turn, and the first one found
+begins the next factor, which may overlap the last; breaking a factor never loses a repeat.
+The factors' union is what is removed.
+
+Documents are distinct texts (their words' 128-bit hash) numbered in the order of doc_id.
+Minimizers (about one in eight words) and the windows of repeated blocks are shuffled; counts
+and first places are combined before the shuffle, and where occurrences meet the index again
+both sides are plain tables, so Spark splits the partition of a passage that a third of all
+documents share.
 """
 
 from __future__ import annotations
@@ -26,10 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.words import U64, Words, grams, lists, slices, utf8
+from meterline.llm.words import U64, Words, grams, lists, slices, utf8, wide_grams
 from meterline.plans.cluster import Scratch, ship
 
 WINDOW, GRAM = 20, 6
+FACTOR_TYPE = "array<struct<first:int,end:int,source:bigint,source_first:int>>"
+FACTORS = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("source_first", pa.int32())]))
 
 
 def _sliding(a: np.ndarray, k: int, f) -> np.ndarray:
@@ -126,119 +132,159 @@ def _repeated(win: _Windows, hits) -> np.ndarray:
     return out & win.valid
 
 
-def _expand(n: int):
+def _expand(n: int, bits: int):
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 w = Words(part.column("text"))
                 win = _Windows(w, n)
                 at = np.flatnonzero(_repeated(win, part.column("hits")))
-                ids = part.column("doc_id").to_numpy()[win.row[at]]
-                yield pa.RecordBatch.from_arrays([pa.array(grams(w.hash, n)[at].view(np.int64)), pa.array(ids), pa.array(at - w.first[win.row[at]])], names=["h", "doc_id", "start"])
+                place = (part.column("row").to_numpy()[win.row[at]] << bits) + at - w.first[win.row[at]]
+                yield pa.RecordBatch.from_arrays([*(pa.array(h[at].view(np.int64)) for h in wide_grams(w.hash, n)), pa.array(place)], names=["h1", "h2", "place"])
 
     return run
 
 
-def _factor(n: int, texts: bool):
+def parse(start: np.ndarray, source: np.ndarray, n: int) -> np.ndarray:
+    """Factors (first word, end word, source place) of a document from its windows with an earlier place.
+
+    ``start`` are the windows' words in ascending order, ``source`` their first places.  A
+    window goes on with the factor at hand if both it and its source are one word further;
+    else it is a boundary and begins a factor of its own.
+    """
+    if not len(start):
+        return np.zeros((0, 3), np.int64)
+    new = np.flatnonzero((np.diff(start) != 1) | (np.diff(source) != 1)) + 1
+    head, last = np.concatenate([[0], new]), np.concatenate([new, [len(start)]]) - 1
+    return np.stack([start[head], start[last] + n, source[head]], axis=1)
+
+
+def union(spans: np.ndarray) -> np.ndarray:
+    """Disjoint [first, end) of ``spans`` sorted by their first words."""
+    if not len(spans):
+        return spans[:, :2]
+    upto = np.maximum.accumulate(spans[:, 1])
+    new = np.flatnonzero(np.concatenate([[True], spans[1:, 0] > upto[:-1]]))
+    return np.stack([spans[new, 0], upto[np.concatenate([new[1:], [len(spans)]]) - 1]], axis=1)
+
+
+def _factor(n: int, bits: int, texts: bool):
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 col = part.column("text")
                 w = Words(col)
-                win = _Windows(w, n)
-                dup = _repeated(win, part.column("hits"))
-                starts, off = lists(part.column("firsts"))
-                own = starts + np.repeat(w.first[:-1], np.diff(off))
-                dup[own] = False
-                # each earlier window covers n words; maximal covered runs are the factors
-                step = np.zeros(len(dup) + n + 1, np.int32)
-                at = np.flatnonzero(dup)
-                step[at] += 1
-                step[at + n] -= 1
-                gone = np.cumsum(step)[: len(dup)] > 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])) != 0)
-                s, e = edge[::2], edge[1::2]
-                # a factor ends with its row
-                parts = [np.array([[a, b]]) if win.row[a] == win.row[b - 1] else _split(a, b, w.first) for a, b in zip(s.tolist(), e.tolist(), strict=True)]
-                spans = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
-                cut = np.searchsorted(spans[:, 0], w.first)
-                rel = spans - w.first[win.row[spans[:, 0]]][:, None] if len(spans) else spans
-                body, off = joined(w, utf8(col)[1], ~gone)
+                place, off = lists(part.column("start"))
+                source, _ = lists(part.column("source"))
+                gone = np.zeros(len(w.hash) + 1, np.int32)
+                factors, spans = [], []
+                for i in range(w.rows()):
+                    start, at = np.unique(place[off[i] : off[i + 1]], return_index=True)
+                    found = parse(start.astype(np.int64), source[off[i] : off[i + 1]][at], n)
+                    cover = union(found)
+                    gone[w.first[i] + cover[:, 0]] += 1
+                    np.subtract.at(gone, w.first[i] + cover[:, 1], 1)
+                    spans.append(cover.tolist())
+                    factors.append([{"first": a, "end": e, "source": p >> bits, "source_first": p & ((1 << bits) - 1)} for a, e, p in found.tolist()])
+                lost = np.cumsum(gone[:-1]) > 0
+                body, off = joined(w, utf8(col)[1], ~lost)
                 kept = [body[off[i] : off[i + 1]].tobytes() for i in range(w.rows())]
-                total = np.concatenate([[0], np.cumsum(gone)])[w.first]
-                listed = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(rel.ravel().astype(np.int32)), 2).cast(pa.list_(pa.int32())))
+                total = np.concatenate([[0], np.cumsum(lost)])[w.first]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("q1"), part.column("q2"), pa.array(np.diff(total)), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), listed, pa.array([x.decode() for x in kept] if texts else [None] * len(kept), pa.string())],
-                    names=["doc_id", "q1", "q2", "removed", "kept_sha", "spans", "kept_text"],
+                    [part.column("row"), pa.array(np.diff(total), pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), pa.array(spans, pa.list_(pa.list_(pa.int32()))), pa.array(factors, FACTORS), pa.array([x.decode() for x in kept] if texts else [None] * len(kept), pa.string())],
+                    names=["row", "removed", "kept_sha", "spans", "factors", "kept_text"],
                 )
 
     return run
 
 
-def _split(a: int, b: int, first: np.ndarray) -> np.ndarray:
-    inner = first[(first > a) & (first < b)]
-    edges = np.unique(np.concatenate([[a], inner, [b]]))
-    return np.stack([edges[:-1], edges[1:]], axis=1)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, a table written in its final order, with ``row``: 0, 1, ... in that order (one count a partition is collected)."""
+    part, at = F.shiftrightunsigned("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
+    upto, offsets = 0, []
+    for r in docs.groupBy(part.alias("part")).agg((F.max(at) + 1).alias("n")).orderBy("part").collect():
+        offsets += [upto] * (r["part"] + 1 - len(offsets))
+        upto += r["n"]
+    return docs.withColumn("row", F.get(F.lit(offsets or [0]).cast("array<long>"), part.cast("int")) + at).drop("place")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = False) -> DataFrame:
-    """One row per row of ``docs(doc_id, text, ...)``: doc_id, n_words, n_removed, kept_sha256, spans, kept_text, text_hash.
+    """One row per row of ``docs(doc_id, text, ...)``: doc_id, n_words, n_removed, kept_sha256, spans, factors, kept_text, text_hash.
 
     A word goes if a window of ``window`` consecutive words covers it whose word sequence
     also starts earlier: in a smaller doc_id, or in the same document at an earlier word.
-    ``spans`` lists the removed factors as [first word, end word); ``kept_text`` holds the
-    remaining words joined by one space when ``texts`` is set (else null).
+    ``factors`` lists (first, end, source, source_first): words [first, end) of the document
+    repeat those from ``source_first`` on of the source document, named by its number in the
+    order of documents (:func:`factors` resolves it to a doc_id).  ``spans`` is their union;
+    ``kept_text`` holds the remaining words joined by one space when ``texts`` is set (else null).
 
     Defined cases: a null or wordless text has no words and keeps the empty string; fewer
-    than ``window`` words lose nothing; rows that repeat both doc_id and words are one
-    document and get the same result; a null doc_id sorts before all others; an empty table
+    than ``window`` words lose nothing; a null doc_id sorts before all others; rows that share
+    a doc_id (or have none) are one document if their words are the same and get the same
+    result, else documents of their own in the order of their words' hash; an empty table
     gives an empty result; further columns of ``docs``, whatever their names, are ignored.
     """
+    return _parsed(docs, window, texts)[0]
+
+
+def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The factors of all documents as rows: doc_id, first, end, source_id, source_first."""
+    out, names = _parsed(docs, window, False)
+    long = out.select("doc_id", F.explode("factors").alias("f")).select("doc_id", "f.*")
+    return long.join(names.withColumnRenamed("row", "source"), "source").select("doc_id", "first", "end", "source_id", "source_first")
+
+
+def _parsed(docs: DataFrame, window: int, texts: bool) -> tuple[DataFrame, DataFrame]:
+    """The result and the doc_id (``source_id``) of each numbered document."""
     if window <= GRAM:
         raise ValueError(f"window must be over {GRAM} words")
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "substring")
-    low = -(1 << 62)
-    src = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(low)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scan = scratch.keep(src.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_scan(window), "doc_id long, text_hash long, n_words long, q1 long, q2 long, sha string, anchors array<long>"), "scan")
-    first = scratch.keep(scan.where(F.col("n_words") >= window).groupBy("q1", "q2").agg(F.min("doc_id").alias("rep"), F.max("n_words").alias("n"), F.first("anchors").alias("anchors")), "first")
-    occ = first.select(F.col("rep").alias("doc_id"), "q1", "q2", F.explode("anchors").alias("h"))
-    again = occ.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    held = first.select(F.col("rep").alias("doc_id"), "q1", "q2", F.explode(F.array_distinct("anchors")).alias("h"))
-    hits = scratch.keep(held.join(again, "h").groupBy("doc_id", "q1", "q2").agg(F.collect_set("h").alias("hits")), "hits")
-    # texts of documents with a repeated block; a document is its id and its words' hash
-    named = src.join(scan.select("doc_id", "q1", "q2").join(hits, ["doc_id", "q1", "q2"]).distinct(), "doc_id")
-    wide = named.select("doc_id", "q1", "q2", "text", "hits")
-    bits = max(1, int(first.agg(F.max("n")).first()[0] or 1).bit_length())
-    span = first.agg(F.max(F.abs("rep"))).first()[0] or 0
-    place = wide.mapInArrow(_expand(window), "h long, doc_id long, start long")
-    if span < 1 << (62 - bits):  # a place in the corpus fits one long: minima are hash-aggregated
-        index = place.select("h", (F.col("doc_id") * (1 << bits) + F.col("start")).alias("p")).groupBy("h").agg(F.min("p").alias("p"))
-        index = index.select(F.shiftright("p", bits).alias("doc_id"), F.col("p").bitwiseAND((1 << bits) - 1).cast("int").alias("start"))
-    else:
-        index = place.groupBy("h").agg(F.min(F.struct("doc_id", "start")).alias("p")).select("p.doc_id", F.col("p.start").cast("int").alias("start"))
-    firsts = scratch.keep(index.groupBy("doc_id").agg(F.collect_list("start").alias("firsts")), "firsts")
-    done = scratch.keep(
-        wide.join(firsts, "doc_id", "left").withColumn("firsts", F.coalesce("firsts", F.array().cast("array<int>"))).mapInArrow(_factor(window, texts), "doc_id long, q1 long, q2 long, removed long, kept_sha string, spans array<array<int>>, kept_text string").distinct(),
-        "done",
-    )
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    scan = scratch.keep(src.mapInArrow(_scan(window), "doc_id long, text_hash long, n_words long, q1 long, q2 long, sha string, anchors array<long>"), "scan")
+    # distinct texts, each at the smallest (nulls first) of its ids, in order
+    least = F.min(F.struct("doc_id", "text_hash")).alias("at")
+    first = scan.where(F.col("n_words") >= window).groupBy("q1", "q2").agg(least, F.first("n_words").alias("n"), F.first("anchors").alias("anchors")).select("q1", "q2", F.col("at.doc_id").alias("id"), F.col("at.text_hash").alias("text_hash"), "n", "anchors")
+    first = first.orderBy(F.asc_nulls_first("id"), "q1", "q2").withColumn("place", F.monotonically_increasing_id())
+    first = _numbered(scratch.keep(first, "first"))
+    ends = first.agg(F.max("row").alias("row"), F.max("n").alias("n")).first()
+    bits = int(ends["n"] or 1).bit_length()
+    if (ends["row"] or 0) >> (62 - bits):
+        raise OverflowError("documents times words of the longest one exceed 62 bits")
+    # blocks with two occurrences or more, and the documents that hold them
+    again = scratch.keep(first.select(F.explode("anchors").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
+    held = first.select("row", F.explode(F.array_distinct("anchors")).alias("h")).join(again, "h")
+    hits = held.groupBy("row").agg(F.collect_list("h").alias("hits"))
+    key = ["id", "no_id", "text_hash"]
+    whole_id = lambda c: (F.coalesce(c, F.lit(0)).alias("id"), F.isnull(c).alias("no_id"), "text_hash")
+    named = first.select("row", *whole_id(F.col("id"))).join(hits, "row")
+    wide = scratch.keep(src.select(*whole_id(F.col("doc_id")), "text").join(named, key).dropDuplicates(key).select("row", "text", "hits"), "wide")
+    scratch.drop("again")
+    occ = wide.mapInArrow(_expand(window, bits), "h1 long, h2 long, place long")
+    index = occ.groupBy("h1", "h2").agg(F.min("place").alias("source"), F.max("place").alias("z")).where("source < z").drop("z")
+    index = scratch.keep(index, "index")
+    found = occ.join(index, ["h1", "h2"]).where("place > source").select(F.shiftright("place", bits).alias("row"), F.col("place").bitwiseAND((1 << bits) - 1).cast("int").alias("start"), "source")
+    found = found.groupBy("row").agg(F.collect_list(F.struct("start", "source")).alias("f")).select("row", F.col("f.start").alias("start"), F.col("f.source").alias("source"))
+    done = scratch.keep(wide.join(found, "row").select("row", "text", "start", "source").mapInArrow(_factor(window, bits, texts), f"row long, removed long, kept_sha string, spans array<array<int>>, factors {FACTOR_TYPE}, kept_text string"), "done")
+    scratch.drop("wide", "index")
     empty = hashlib.sha256(b"").hexdigest()
-    out = scan.drop("anchors").join(first.select("q1", "q2", "rep"), ["q1", "q2"], "left").join(done, ["doc_id", "q1", "q2"], "left")
-    copy = F.col("rep").isNotNull() & (F.col("rep") < F.col("doc_id"))
+    own = first.select("q1", "q2", "row", "id").join(done, "row", "left")
+    out = scan.drop("anchors").join(own, ["q1", "q2"], "left")
+    copy = F.col("row").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("id"))
     n = F.col("n_words")
-    whole = F.array(F.array(F.lit(0), n.cast("int")))
+    whole = F.struct(F.lit(0).alias("first"), n.cast("int").alias("end"), F.col("row").alias("source"), F.lit(0).alias("source_first"))
     out = out.select(
-        F.when(F.col("doc_id") != low, F.col("doc_id")).alias("doc_id"),
+        "doc_id",
         "n_words",
         F.when(copy, n).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, F.lit(empty)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
-        F.when(copy, whole).otherwise(F.coalesce("spans", F.array().cast("array<array<int>>"))).alias("spans"),
+        F.when(copy, F.array(F.array(F.lit(0), n.cast("int")))).otherwise(F.coalesce("spans", F.array().cast("array<array<int>>"))).alias("spans"),
+        F.when(copy, F.array(whole)).otherwise(F.coalesce("factors", F.array().cast(FACTOR_TYPE))).alias("factors"),
         F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
         "text_hash",
     )
-    scratch.drop("hits", "firsts")
-    return out
+    return out, first.select("row", F.col("id").alias("source_id"))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -247,7 +293,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ``n_chars`` is set to the new length where such a column exists.
     """
     found = substring_dedup(docs, window, texts=True).where("n_removed > 0")
-    cut = found.select(F.col("doc_id").alias("cut_id_"), F.col("text_hash").alias("cut_hash_"), F.col("kept_text").alias("cut_text_")).distinct()
+    cut = found.select(F.col("doc_id").alias("cut_id_"), F.col("text_hash").alias("cut_hash_"), F.col("kept_text").alias("cut_text_")).dropDuplicates(["cut_id_", "cut_hash_"])
     own = F.col("doc_id").cast("long").eqNullSafe(F.col("cut_id_")) & (F.xxhash64(F.col("text").cast("string")) == F.col("cut_hash_"))
     got = docs.join(cut, own, "left")
     text = F.coalesce("cut_text_", F.col("text"))

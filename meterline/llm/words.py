@@ -119,11 +119,11 @@ class Words:
         return len(self.first) - 1
 
 
-def grams(h: np.ndarray, k: int) -> np.ndarray:
+def grams(h: np.ndarray, k: int, base: int = 0xC2B2AE3D27D4EB4F) -> np.ndarray:
     """Hash of the ``k`` words from each position on (entries that run over the end are junk)."""
     with np.errstate(over="ignore"):
         out, have, power = np.zeros(len(h), U64), 0, U64(1)
-        step, width, base = h.copy(), 1, U64(0xC2B2AE3D27D4EB4F)
+        step, width, base = h.copy(), 1, U64(base)
         while True:
             if k & width:
                 tail = np.zeros(len(h), U64)
@@ -138,3 +138,8 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
                 nxt[: len(h) - width] = step[width:]
             step, base, width = step + base * nxt, base * base, width * 2
         return mix(out)
+
+
+def wide_grams(h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of hash of the ``k`` words from each position on, as two independent halves."""
+    return grams(h, k), grams(mix(h ^ U64(0xA0761D6478BD642F)), k, 0x8EBC6AF09C88C6E3)
