@@ -14,7 +14,8 @@ Work is kept linear in each group:
   pairs are verified on the full sets; no bucket ever lists its pairs;
 * what a star cannot decide - members of one bucket that still lie in different components -
   is finished exactly by a prefix filter: two sets with the wanted similarity must share one
-  of their rarest shingles, and only pairs from different components are compared.
+  of their rarest shingles, and only pairs from different components are compared.  A shingle
+  that many sets have is not joined as it is: see ``_cross``.
 
 Components come from alternating star contractions, each round a pair of aggregations.
 """
@@ -33,6 +34,8 @@ from meterline.llm.words import U64, Words, grams, mix, slices
 from meterline.plans.cluster import Scratch, checked_broadcast, ship
 
 K, COLLECTIONS, PER = 5, 14, 3
+#: Rows of a key, or pairs a row, up to which the exact finish joins a key without looking closer.
+GROUP = 64
 
 
 def shingle_sets(col, k: int = K) -> Iterator[np.ndarray]:
@@ -142,12 +145,66 @@ def components(spark, edges: DataFrame, scratch: Scratch, name: str) -> DataFram
     return cur.select(F.col("hi").alias("id"), F.col("lo").alias("comp"))
 
 
+def _cross(scratch: Scratch, ranked: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) between components of ``ranked(id, comp, n, o)``; no pair that links is left out.
+
+    ``o`` are a set's shingles from the rarest on.  Two sets that link share a shingle among
+    the first ``n - need + 1`` of each, and ``l`` shingles among the first ``n - need + l``.
+    Rows meet under a key, at first one shingle.  A key of at most ``GROUP`` rows is joined
+    as it is.  In a larger one sizes and positions are counted first and only those
+    combinations are joined whose sets can still reach the wanted overlap; where even these
+    leave more than ``GROUP`` pairs a row, the key is deepened by the next shared shingle.
+    """
+    spare = f"n - cast(ceil(n * {percent} / 100.0) as int)"
+    first = ranked.select("id", "comp", "n", F.posexplode(F.slice("o", 1, F.expr(f"{spare} + 1"))).alias("pos", "t"))
+    rows, found, level = first.where("t.df > 1").select("id", "comp", "n", "pos", F.col("t.s").alias("key")), [], 1
+    # two different sets that link share so many shingles at least, so keys may be as deep
+    deepest = min(6, -(-percent // (100 - percent))) if percent < 100 else 1
+    while True:
+        rows = scratch.keep(rows, f"rows-{level}")
+        many = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("comps"))
+        many = scratch.keep(many.where("comps > 1").drop("comps"), f"keys-{level}")
+        reach = f"100 * least(n, nb) >= {percent} * greatest(n, nb) and {100 + percent} * ({level - 1} + least(n - pos, nb - pb)) >= {percent} * (n + nb)"
+        right = lambda df: df.withColumnsRenamed({"id": "b", "comp": "cb", "n": "nb", "pos": "pb", "c": "c2"})
+        cold = rows.join(many.where(f"m <= {GROUP}").select("key"), "key")
+        found.append(scratch.keep(cold.join(right(cold), "key").where(f"comp < cb and {reach}").select(F.col("id").alias("a"), "b").distinct(), f"cold-{level}"))
+        large = many.where(f"m > {GROUP}")
+        if large.isEmpty():
+            break
+        warm = scratch.keep(rows.join(large, "key"), f"warm-{level}")
+        cells = warm.groupBy("key", "n", "pos", "m", "own").agg(F.count("*").alias("c"))
+        meet = scratch.keep(cells.join(right(cells).drop("m", "own"), "key").where(reach), f"meet-{level}")
+        load = meet.groupBy("key", "m", "own").agg(F.sum(F.col("c") * F.col("c2")).alias("pairs"))
+        hot = scratch.keep(load.select("key", F.expr(f"least(pairs, m * m - own) > {GROUP} * m and {level} < {deepest}").alias("hot")), f"hot-{level}")
+        calm = hot.where("not hot").select("key")
+        # sizes, positions and components that meet, then their rows
+        kinds = warm.join(calm, "key").groupBy("key", "n", "pos", "comp").agg(F.count("*").alias("c")).drop("c")
+        met = kinds.join(meet.select("key", "n", "pos", "nb", "pb"), ["key", "n", "pos"]).join(right(kinds), ["key", "nb", "pb"]).where("comp < cb")
+        left = warm.select("id", "key", "n", "pos", "comp")
+        pairs = met.join(left, ["key", "n", "pos", "comp"]).join(right(left), ["key", "nb", "pb", "cb"]).select(F.col("id").alias("a"), "b").distinct()
+        found.append(scratch.keep(pairs, f"warm-pairs-{level}"))
+        deep = hot.where("hot").select("key")
+        if level == deepest or deep.isEmpty():
+            break
+        more = warm.join(deep, "key").join(ranked.select("id", "o"), "id")
+        more = more.select("id", "comp", "n", "key", "pos", F.posexplode(F.expr(f"slice(o, pos + 2, {spare} + {level} - pos)")).alias("j", "t")).where("t.df > 1")
+        rows = more.select("id", "comp", "n", (F.col("pos") + 1 + F.col("j")).alias("pos"), F.xxhash64("key", "t.s").alias("key"))
+        level += 1
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    out = scratch.keep(out.distinct(), "cross")
+    scratch.drop(*(f"{x}-{i}" for i in range(1, level + 1) for x in ("rows", "keys", "cold", "warm", "meet", "hot", "warm-pairs")))
+    return out
+
+
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = 80, m: int = COLLECTIONS, t: int = PER, seed: int = 11) -> DataFrame:
     """One row per row of ``docs(doc_id, text, ...)``: doc_id, n_shingles, component_id, kept.
 
     Links two documents when ``100 * |A & B| >= percent * |A | B|`` on their full sets.
-    ``percent`` is 80 unless a caller's contract says otherwise.  At similarity 0.85 the
-    tables miss a pair with probability 4e-5 (fewer than two of 14 collections agree).
+    ``percent`` is 80 unless a caller's contract says otherwise.  The tables miss a pair when
+    fewer than two of 14 collections agree: with probability 4e-5 at similarity 0.85, 7e-4 at
+    0.80 and less above; other members of its group often link it all the same.
 
     Defined cases: a null or wordless text has an empty set, links with nothing and is its
     own component; fewer than ``k`` words form one shingle; rows that share a doc_id are one
@@ -191,17 +248,8 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = 80, m: int = COL
     rest = scratch.keep(tagged.join(open_, "key").groupBy("id").agg(F.min("comp").alias("comp")), "rest")
     tokens = sets.join(rest, "id").select("id", "comp", F.size("s").alias("n"), F.explode("s").alias("s"))
     rare = sets.join(rest, "id").select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("df"))
-    # a set of n shares one of its n - ceil(n * percent / 100) + 1 rarest with any set it links to
     ranked = tokens.join(rare, "s").groupBy("id", "comp", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
-    start = F.posexplode(F.slice("o", 1, F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)).alias("pos", "t")
-    prefix = ranked.select("id", "comp", "n", start).where("t.df > 1").select("id", "comp", "n", "pos", F.col("t.s").alias("s"))
-    prefix = scratch.keep(prefix, "prefix")
-    mixed = prefix.groupBy("s").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("s")
-    cut = prefix.join(mixed, "s")
-    other = cut.select("s", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    # at the first shingle that two sets share, what follows must still reach the wanted overlap
-    reach = f"{100 + percent} * least(n - pos, nb - pb) >= {percent} * (n + nb)"
-    cross = cut.join(other, "s").where(f"comp < cb and 100 * least(n, nb) >= {percent} * greatest(n, nb) and {reach}").select(F.col("id").alias("a"), "b").distinct()
+    cross = _cross(scratch, scratch.keep(ranked, "ranked"), percent)
     more = verified(cross, "more")
     if not more.isEmpty():
         joined = more.join(comp, more["a"] == comp["id"], "left").select(F.coalesce("comp", "a").alias("a"), "b").join(comp, F.col("b") == comp["id"], "left").select("a", F.coalesce("comp", "b").alias("b"))
@@ -213,7 +261,7 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = 80, m: int = COL
     by_set = reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left").where("comp is not null or rep < last").select("h1", "h2", F.coalesce("comp", "rep").alias("c"))
     out = sig.join(by_set, ["h1", "h2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("c", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
     out = scratch.keep(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "out")
-    scratch.drop("sig", "reps", "hot", "ids", "sets", "links", "comp", "rest", "prefix", "more", "final")
+    scratch.drop("sig", "reps", "hot", "ids", "sets", "links", "comp", "rest", "ranked", "cross", "more", "final")
     return out
 
 
