@@ -65,13 +65,13 @@ class Scratch:
         except Exception:  # the session may be gone at exit
             return
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         """Writes ``df`` and returns it as a table scan; the shuffle files it took are removed once it is written."""
         path = f"{self.root}/{name}"
         was = self.spark.conf.get(FREE_SHUFFLES, None)
         self.spark.conf.set(FREE_SHUFFLES, "true")
         try:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").option("compression", codec).parquet(path)
         finally:
             self.spark.conf.unset(FREE_SHUFFLES) if was is None else self.spark.conf.set(FREE_SHUFFLES, was)
         return self.spark.read.schema(df.schema).parquet(path)
