@@ -36,6 +36,8 @@ from meterline.plans.cluster import Scratch, checked_broadcast, ship
 K, COLLECTIONS, PER = 5, 14, 3
 #: Rows of a key, or pairs a row, up to which the exact finish joins a key without looking closer.
 GROUP = 64
+#: A key is deepened only if that saves so many pairs for each row that the deeper keys take.
+DEEPER = 4
 
 
 def shingle_sets(col, k: int = K) -> Iterator[np.ndarray]:
@@ -153,7 +155,7 @@ def _cross(scratch: Scratch, ranked: DataFrame, percent: int) -> DataFrame:
     Rows meet under a key, at first one shingle.  A key of at most ``GROUP`` rows is joined
     as it is.  In a larger one sizes and positions are counted first and only those
     combinations are joined whose sets can still reach the wanted overlap; where even these
-    leave more than ``GROUP`` pairs a row, the key is deepened by the next shared shingle.
+    leave more than ``GROUP`` pairs a row and ``DEEPER`` for each row of the deeper keys, the key is deepened by the next shared shingle.
     """
     spare = f"n - cast(ceil(n * {percent} / 100.0) as int)"
     first = ranked.select("id", "comp", "n", F.posexplode(F.slice("o", 1, F.expr(f"{spare} + 1"))).alias("pos", "t"))
@@ -162,7 +164,8 @@ def _cross(scratch: Scratch, ranked: DataFrame, percent: int) -> DataFrame:
     deepest = min(6, -(-percent // (100 - percent))) if percent < 100 else 1
     while True:
         rows = scratch.keep(rows, f"rows-{level}")
-        many = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("comps"))
+        each = rows.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum(F.expr(f"{spare} + {level} - pos")).alias("g"))
+        many = each.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.sum("g").alias("deeper"), F.count("*").alias("comps"))
         many = scratch.keep(many.where("comps > 1").drop("comps"), f"keys-{level}")
         reach = f"100 * least(n, nb) >= {percent} * greatest(n, nb) and {100 + percent} * ({level - 1} + least(n - pos, nb - pb)) >= {percent} * (n + nb)"
         right = lambda df: df.withColumnsRenamed({"id": "b", "comp": "cb", "n": "nb", "pos": "pb", "c": "c2"})
@@ -172,10 +175,10 @@ def _cross(scratch: Scratch, ranked: DataFrame, percent: int) -> DataFrame:
         if large.isEmpty():
             break
         warm = scratch.keep(rows.join(large, "key"), f"warm-{level}")
-        cells = warm.groupBy("key", "n", "pos", "m", "own").agg(F.count("*").alias("c"))
-        meet = scratch.keep(cells.join(right(cells).drop("m", "own"), "key").where(reach), f"meet-{level}")
-        load = meet.groupBy("key", "m", "own").agg(F.sum(F.col("c") * F.col("c2")).alias("pairs"))
-        hot = scratch.keep(load.select("key", F.expr(f"least(pairs, m * m - own) > {GROUP} * m and {level} < {deepest}").alias("hot")), f"hot-{level}")
+        cells = warm.groupBy("key", "n", "pos", "m", "own", "deeper").agg(F.count("*").alias("c"))
+        meet = scratch.keep(cells.join(right(cells).drop("m", "own", "deeper"), "key").where(reach), f"meet-{level}")
+        load = meet.groupBy("key", "m", "own", "deeper").agg(F.sum(F.col("c") * F.col("c2")).alias("pairs"))
+        hot = scratch.keep(load.select("key", F.expr(f"least(pairs, m * m - own) > {GROUP} * m + {DEEPER} * deeper and {level} < {deepest}").alias("hot")), f"hot-{level}")
         calm = hot.where("not hot").select("key")
         # sizes, positions and components that meet, then their rows
         kinds = warm.join(calm, "key").groupBy("key", "n", "pos", "comp").agg(F.count("*").alias("c")).drop("c")

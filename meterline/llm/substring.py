@@ -242,12 +242,14 @@ def _parsed(docs: DataFrame, window: int, texts: bool) -> tuple[DataFrame, DataF
     ship(spark)
     scratch = Scratch(spark, "substring")
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    scan = scratch.keep(src.mapInArrow(_scan(window), "doc_id long, text_hash long, n_words long, q1 long, q2 long, sha string, anchors array<long>"), "scan")
+    parsed = scratch.keep(src.mapInArrow(_scan(window), "doc_id long, text_hash long, n_words long, q1 long, q2 long, sha string, anchors array<long>"), "parsed")
     # distinct texts, each at the smallest (nulls first) of its ids, in order
     least = F.min(F.struct("doc_id", "text_hash")).alias("at")
-    first = scan.where(F.col("n_words") >= window).groupBy("q1", "q2").agg(least, F.first("n_words").alias("n"), F.first("anchors").alias("anchors")).select("q1", "q2", F.col("at.doc_id").alias("id"), F.col("at.text_hash").alias("text_hash"), "n", "anchors")
+    first = parsed.where(F.col("n_words") >= window).groupBy("q1", "q2").agg(least, F.first("n_words").alias("n"), F.first("anchors").alias("anchors")).select("q1", "q2", F.col("at.doc_id").alias("id"), F.col("at.text_hash").alias("text_hash"), "n", "anchors")
     first = first.orderBy(F.asc_nulls_first("id"), "q1", "q2").withColumn("place", F.monotonically_increasing_id())
     first = _numbered(scratch.keep(first, "first"))
+    scan = scratch.keep(parsed.drop("anchors"), "scan")
+    scratch.drop("parsed")
     ends = first.agg(F.max("row").alias("row"), F.max("n").alias("n")).first()
     bits = int(ends["n"] or 1).bit_length()
     if (ends["row"] or 0) >> (62 - bits):
@@ -259,8 +261,9 @@ def _parsed(docs: DataFrame, window: int, texts: bool) -> tuple[DataFrame, DataF
     key = ["id", "no_id", "text_hash"]
     whole_id = lambda c: (F.coalesce(c, F.lit(0)).alias("id"), F.isnull(c).alias("no_id"), "text_hash")
     named = first.select("row", *whole_id(F.col("id"))).join(hits, "row")
-    wide = scratch.keep(src.select(*whole_id(F.col("doc_id")), "text").join(named, key).dropDuplicates(key).select("row", "text", "hits"), "wide")
-    scratch.drop("again")
+    wide = scratch.keep(src.select(*whole_id(F.col("doc_id")), "text").join(named, key).dropDuplicates(key).select("row", "text", "hits"), "wide", "zstd")
+    first = scratch.keep(first.drop("anchors"), "documents")
+    scratch.drop("again", "first")
     occ = wide.mapInArrow(_expand(window, bits), "h1 long, h2 long, place long")
     index = occ.groupBy("h1", "h2").agg(F.min("place").alias("source"), F.max("place").alias("z")).where("source < z").drop("z")
     index = scratch.keep(index, "index")

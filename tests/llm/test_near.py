@@ -18,6 +18,7 @@ def linked(x, y, percent):
 @pytest.mark.parametrize("group", [1, 4, 64])
 def test_cross_loses_no_link(spark, percent, group, monkeypatch):
     monkeypatch.setattr(near, "GROUP", group)
+    monkeypatch.setattr(near, "DEEPER", 0 if group < 64 else 4)
     r = np.random.default_rng(percent + group)
     sets = []
     for base in range(6):
