@@ -160,44 +160,44 @@ def _cross(scratch: Scratch, ranked: DataFrame, percent: int) -> DataFrame:
     spare = f"n - cast(ceil(n * {percent} / 100.0) as int)"
     first = ranked.select("id", "comp", "n", F.posexplode(F.slice("o", 1, F.expr(f"{spare} + 1"))).alias("pos", "t"))
     rows, found, level = first.where("t.df > 1").select("id", "comp", "n", "pos", F.col("t.s").alias("key")), [], 1
-    # two different sets that link share so many shingles at least, so keys may be as deep
-    deepest = min(6, -(-percent // (100 - percent))) if percent < 100 else 1
-    while True:
+    # above 50 percent, two different sets that link share two shingles at least
+    deepest = 2 if percent > 50 else 1
+    for level in range(1, deepest + 1):
         rows = scratch.keep(rows, f"rows-{level}")
         each = rows.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum(F.expr(f"{spare} + {level} - pos")).alias("g"))
-        many = each.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.sum("g").alias("deeper"), F.count("*").alias("comps"))
+        many = each.groupBy("key").agg(F.sum("c").alias("m"), F.sum("g").alias("deeper"), F.count("*").alias("comps"))
         many = scratch.keep(many.where("comps > 1").drop("comps"), f"keys-{level}")
         reach = f"100 * least(n, nb) >= {percent} * greatest(n, nb) and {100 + percent} * ({level - 1} + least(n - pos, nb - pb)) >= {percent} * (n + nb)"
         right = lambda df: df.withColumnsRenamed({"id": "b", "comp": "cb", "n": "nb", "pos": "pb", "c": "c2"})
         cold = rows.join(many.where(f"m <= {GROUP}").select("key"), "key")
-        found.append(scratch.keep(cold.join(right(cold), "key").where(f"comp < cb and {reach}").select(F.col("id").alias("a"), "b").distinct(), f"cold-{level}"))
+        found.append(cold.join(right(cold), "key").where(f"comp < cb and {reach}").select(F.col("id").alias("a"), "b"))
         large = many.where(f"m > {GROUP}")
         if large.isEmpty():
             break
         warm = scratch.keep(rows.join(large, "key"), f"warm-{level}")
-        cells = warm.groupBy("key", "n", "pos", "m", "own", "deeper").agg(F.count("*").alias("c"))
-        meet = scratch.keep(cells.join(right(cells).drop("m", "own", "deeper"), "key").where(reach), f"meet-{level}")
-        load = meet.groupBy("key", "m", "own", "deeper").agg(F.sum(F.col("c") * F.col("c2")).alias("pairs"))
-        hot = scratch.keep(load.select("key", F.expr(f"least(pairs, m * m - own) > {GROUP} * m + {DEEPER} * deeper and {level} < {deepest}").alias("hot")), f"hot-{level}")
-        calm = hot.where("not hot").select("key")
+        kinds = scratch.keep(warm.groupBy("key", "n", "pos", "comp").agg(F.count("*").alias("c")), f"kinds-{level}")
+        cells = kinds.groupBy("key", "n", "pos").agg(F.sum("c").alias("c"))
+        meet = scratch.keep(cells.join(right(cells), "key").where(reach), f"meet-{level}")
+        # pairs of each key that would be formed: all that meet, less those within a component
+        within = kinds.join(meet.drop("c", "c2"), ["key", "n", "pos"]).join(kinds.select("key", F.col("n").alias("nb"), F.col("pos").alias("pb"), "comp", F.col("c").alias("c2")), ["key", "nb", "pb", "comp"])
+        pairs = meet.select("key", (F.col("c") * F.col("c2")).alias("p")).unionByName(within.select("key", (-F.col("c") * F.col("c2")).alias("p"))).groupBy("key").agg((F.sum("p") / 2).alias("pairs"))
+        hot = scratch.keep(pairs.where("pairs > 0").join(large, "key").select("key", F.expr(f"pairs > {GROUP} * m + {DEEPER} * deeper and {level} < {deepest}").alias("hot")), f"hot-{level}")
         # sizes, positions and components that meet, then their rows
-        kinds = warm.join(calm, "key").groupBy("key", "n", "pos", "comp").agg(F.count("*").alias("c")).drop("c")
-        met = kinds.join(meet.select("key", "n", "pos", "nb", "pb"), ["key", "n", "pos"]).join(right(kinds), ["key", "nb", "pb"]).where("comp < cb")
+        some = kinds.join(hot.where("not hot").select("key"), "key").drop("c")
+        met = some.join(meet.select("key", "n", "pos", "nb", "pb"), ["key", "n", "pos"]).join(right(some), ["key", "nb", "pb"]).where("comp < cb")
         left = warm.select("id", "key", "n", "pos", "comp")
-        pairs = met.join(left, ["key", "n", "pos", "comp"]).join(right(left), ["key", "nb", "pb", "cb"]).select(F.col("id").alias("a"), "b").distinct()
-        found.append(scratch.keep(pairs, f"warm-pairs-{level}"))
+        found.append(met.join(left, ["key", "n", "pos", "comp"]).join(right(left), ["key", "nb", "pb", "cb"]).select(F.col("id").alias("a"), "b"))
         deep = hot.where("hot").select("key")
         if level == deepest or deep.isEmpty():
             break
         more = warm.join(deep, "key").join(ranked.select("id", "o"), "id")
         more = more.select("id", "comp", "n", "key", "pos", F.posexplode(F.expr(f"slice(o, pos + 2, {spare} + {level} - pos)")).alias("j", "t")).where("t.df > 1")
         rows = more.select("id", "comp", "n", (F.col("pos") + 1 + F.col("j")).alias("pos"), F.xxhash64("key", "t.s").alias("key"))
-        level += 1
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     out = scratch.keep(out.distinct(), "cross")
-    scratch.drop(*(f"{x}-{i}" for i in range(1, level + 1) for x in ("rows", "keys", "cold", "warm", "meet", "hot", "warm-pairs")))
+    scratch.drop(*(f"{x}-{i}" for i in range(1, level + 1) for x in ("rows", "keys", "warm", "kinds", "meet", "hot")))
     return out
 
 
