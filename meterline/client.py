@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import asyncio
+import re
 import time
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
@@ -17,7 +18,13 @@ from meterline.operators import records as rec
 from meterline.operators.rules import tag_context
 from meterline.plans import query as q
 from meterline.plans.store import PointStore
-from meterline.settings import Settings
+from meterline.settings import ALIASES, Settings
+
+# How the servers word a conflict of field types (v2, v3).
+CONFLICTS = (
+    re.compile(r'input field "(?P<f>[^"]+)" on measurement "(?P<m>[^"]+)" is type \w+, already exists as type (?P<t>\w+)'),
+    re.compile(r"invalid column type for column '(?P<f>[^']+)', expected iox::column_type::field::(?P<t>\w+)"),
+)
 
 __all__ = ["AsyncClient", "Client", "WriteResult", "tag_context"]
 
@@ -39,6 +46,8 @@ class Client:
         self.spark, self.settings, self.store = spark, settings or Settings(), store
         self.sink = sink or (lambda df: df.write.format("noop").mode("overwrite").save())
         self.types: dict[tuple[str, str], str] = {}
+        #: names known as "tag" or "field" from accepted records
+        self.keys: dict[tuple[str, str], str] = {}
         self.totals = {"written": 0, "dropped": 0, "bytes": 0, "writes": 0}
 
     def encode(self, data, measurement: str | None = None, tag_columns: Sequence[str] = (), field_columns=None, time_column=None, tags: dict | None = None) -> DataFrame:
@@ -53,7 +62,7 @@ class Client:
             self._roles = (df, chosen)
             return out.select(F.col("__seq").alias("seq"), F.lit(measurement).alias("measurement"), "line", "reject.code", "reject.key", "reject.message")
         with tag_context(**(tags or {})):
-            return rec.encode_records(rec.records(self.spark, data), self.settings, self.types)
+            return rec.encode_records(rec.records(self.spark, data), self.settings, self.types, keys=self.keys)
 
     def _pandas(self, pdf) -> DataFrame:
         if pdf.index.name is not None or pdf.index.dtype.kind == "M":
@@ -74,8 +83,8 @@ class Client:
                 raise Rejected(r["code"], f"record {r['seq']}: {r['message']}", r["key"], r["measurement"])
             sample = [r.asDict() for r in bad.orderBy("seq").limit(1000).collect()] if codes else []
             self.sink(good.select("line"))
-            if self.settings.type_lock and got[0]:
-                self._lock(data, measurement)
+            if got[0]:
+                self._lock(out, measurement)
             result = WriteResult(got[0], sum(codes.values()), got[1], time.monotonic() - start, sample, codes)
         finally:
             out.unpersist()
@@ -83,16 +92,18 @@ class Client:
             self.totals[k] += v
         return result
 
-    def _lock(self, data, measurement: str | None) -> None:
+    def _lock(self, out: DataFrame, measurement: str | None) -> None:
+        """Keeps what accepted rows wrote: one row a name is collected."""
         if measurement is not None:
-            df, (_, names, _) = self._roles
-            found = {(measurement, k): v for k, v in frame.locks_of(df, names, self.settings).items()}
+            df, (tags, names, _) = self._roles
+            found = {(measurement, k): v for k, v in frame.locks_of(df, names, self.settings).items()} | {(measurement, k): "tag" for k in tags}
         else:
-            rows = rec.locked_types(rec.records(self.spark, data), self.settings).collect() if not hasattr(data, "__next__") else []
-            found = {(r["measurement"], r["key"]): r["kinds"][0] for r in rows if len(r["kinds"]) == 1}
+            rows = out.where("locks is not null").select(F.explode("locks").alias("x")).select("x.*").distinct().collect()
+            found = {(r["measurement"], r["key"]): r["kind"] for r in rows}
         declared = {(m, k) for m, s in self.settings.measurements.items() for k in s.fields}
         for k, v in found.items():
-            if k not in declared:
+            self.keys.setdefault(k, "tag" if v == "tag" else "field")
+            if self.settings.type_lock and v not in ("tag", "field") and k not in declared:
                 self.types.setdefault(k, v)
 
     def sync_schema(self) -> int:
@@ -109,16 +120,14 @@ class Client:
         if not schema or key not in schema.fields:
             self.types[measurement, key] = kind
 
-    def learn(self, messages: Iterable[str]) -> None:
-        """Relocks from type-conflict messages: field "f" on measurement "m" ... already exists as type t."""
-        import re
-
-        from meterline.settings import ALIASES
-
+    def learn(self, messages: Iterable[str], measurement: str | None = None) -> None:
+        """Relocks from a server's type-conflict messages; those of v3 name the field only, so the refused line's ``measurement`` is needed."""
         for text in messages:
-            m = re.search(r'field "(?P<f>[^"]+)" on measurement "(?P<m>[^"]+)".*already exists as type (?P<t>\w+)', text) or re.search(r"column (?P<m>\S+)\.(?P<f>\S+) .*expected.*?(?P<t>float|integer|uinteger|string|boolean)", text)
-            if m and m["t"] in ALIASES:
-                self.relock(m["m"], m["f"], ALIASES[m["t"]])
+            for pattern in CONFLICTS:
+                m = pattern.search(text)
+                name = m and (m.groupdict().get("m") or measurement)
+                if name and m["t"] in ALIASES:
+                    self.relock(name, m["f"], ALIASES[m["t"]])
 
     def locked_types(self) -> dict[tuple[str, str], str]:
         return dict(self.types)

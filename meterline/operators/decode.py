@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.dialect import DIALECTS, LineError, runs_on
+from meterline.functions.dialect import DIALECTS, LineError
+from meterline.functions.text import runs_on
 from meterline.plans.cluster import ship
 
 FIELD = "struct<key:string,t:string,f:double,i:decimal(20,0),s:string,b:boolean>"
@@ -36,13 +37,8 @@ def stamp_untimed(line: Column, now: int) -> Column:
 
 
 def run_on(line: Column) -> Column:
-    """Whether a line would run on into the next; only lines with quotes or backslashes reach Python."""
-
-    @F.pandas_udf("boolean")
-    def check(v: pd.Series) -> pd.Series:
-        return v.map(lambda x: None if x is None else runs_on(x))
-
-    return F.coalesce(check(F.when(line.contains('"') | line.contains("\\"), line)), F.lit(False))
+    """Whether a line would run on into the next; only lines with quotes or backslashes are looked through."""
+    return F.when(line.contains('"') | line.contains("\\"), runs_on(line)).otherwise(F.coalesce(line.contains("\n"), F.lit(False)))
 
 
 def parse_lines(df: DataFrame, line: str = "line", dialect: int = 3) -> DataFrame:

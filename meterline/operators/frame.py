@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions import coerce, text, times
-from meterline.functions.dialect import DIALECTS, Rejected, runs_on
+from meterline.functions.dialect import DIALECTS, Rejected
 from meterline.operators import rules
 from meterline.settings import PRECISIONS, MeasurementSchema, Settings
 
 REJECT = "struct<code:string,key:string,message:string>"
+HEAD, BODY = "meterline head", "meterline body"
 
 
 def roles(df: DataFrame, tags: str | Sequence[str], fields: str | Sequence[str] | None, time_column: str | None) -> tuple[list[str], list[str], str | None]:
@@ -59,7 +60,7 @@ def encode(
 
     ``types`` are types already locked for the measurement; declared ones win over them.
     Problems of a column raise :class:`Rejected` for the call, problems of values reject rows.
-    Nothing here shuffles; float text outside the common range is the only Python step.
+    Nothing here shuffles, and no step but enrichers leaves the JVM.
     """
     s = settings or Settings()
     d = DIALECTS[s.dialect]
@@ -114,7 +115,7 @@ def encode(
         target = schema.fields.get(c) or ((types or {}).get(c) if s.type_lock else None)
         texts[c], code = coerce.encode_value(natural[c], values[c][0], target, s)
         checks.append((code.isNotNull(), code, c))
-    checks.append((F.coalesce(*texts.values()).isNull() if texts else F.lit(True), "no_fields", None))
+    checks.append((F.col(BODY) == "", "no_fields", None))
     checks += [(texts[k].isNull() if k in texts else F.lit(True), "missing_field", k) for k in schema.required_fields]
 
     stamp: Column | None = None
@@ -128,12 +129,13 @@ def encode(
     parts = [F.concat(F.lit("," + d.escape(k, d.key_escapes) + "="), text.escape_key(made[k], d)) for k in sorted(made)]
     head = F.concat_ws("", F.lit(d.escape(measurement, d.measurement_escapes)), *parts)
     body = F.concat_ws(",", *(F.concat(F.lit(d.escape(c, d.key_escapes) + "="), texts[c]) for c in field_names))
-    line = F.concat_ws(" ", head, body, *([stamp.cast("string")] if stamp is not None else []))
+    line = F.concat_ws(" ", F.col(HEAD), F.col(BODY), *([stamp.cast("string")] if stamp is not None else []))
     if d.version == 2 and any("\\" in k for k in (measurement, *made, *field_names)):
-        ends = F.udf(runs_on, "boolean")
-        checks.append((ends(line), "invalid_name", None))
+        checks.append((text.runs_on(line), "invalid_name", None))
     reject = _first(checks)
-    out = df.select(*(col(c) for c in keep), line.alias("line"), reject.alias("reject"), *([head.alias("series")] if with_series else []))
+    # both texts stand below the checks that use them, so they are made once a row
+    made_once = df.select("*", head.alias(HEAD), body.alias(BODY))
+    out = made_once.select(*(col(c) for c in keep), line.alias("line"), reject.alias("reject"), *([F.col(HEAD).alias("series")] if with_series else []))
     return out.withColumn("line", F.when(F.col("reject").isNull(), F.col("line")))
 
 

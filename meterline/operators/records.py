@@ -19,7 +19,7 @@ import time
 from bisect import bisect_left
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, is_dataclass
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 from typing import Annotated, Any, get_args, get_origin, get_type_hints
 
 import pandas as pd
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.dialect import DIALECTS, EXACT, INT64, UINT64, LineError, Rejected, runs_on, stamped
 from meterline.operators.rules import context_tags, tag_text
-from meterline.plans.cluster import ship
+from meterline.plans.cluster import Scratch, ship
 from meterline.settings import PRECISIONS, MeasurementSchema, Predicate, Settings, field_type
 
 
@@ -120,25 +120,29 @@ def measurement(name: str, tags: Iterable[str] = (), timestamp: str | None = Non
 
 
 def _of_model(obj) -> dict:
-    name, spec, _ = type(obj).__meterline__
+    name, spec, types = type(obj).__meterline__
     out: dict = {"measurement": name, "tags": {}, "fields": {}, "time": None}
     for attr, (role, key) in spec.items():
         value = getattr(obj, attr)
         if role == "time":
             out["time"] = value
-        else:
-            out[role + "s"][key] = value
+            continue
+        if role == "field" and type(value) is int:  # a declared type comes before the value's own
+            value = UInt(value) if types.get(key) == "uinteger" else float(value) if types.get(key) == "float" and abs(value) <= EXACT else value
+        out[role + "s"][key] = value
     return out
 
 
 class Encoder:
     """Row semantics of one settings object: unpack, tag, check, type and write one record at a time."""
 
-    def __init__(self, settings: Settings, now_ns: int, types: dict[tuple[str, str], str] | None = None, tags: Mapping | None = None):
+    def __init__(self, settings: Settings, now_ns: int, types: dict[tuple[str, str], str] | None = None, tags: Mapping | None = None, keys: dict[tuple[str, str], str] | None = None):
         self.s, self.d, self.now = settings, DIALECTS[settings.dialect], now_ns
         self.unit = PRECISIONS[settings.precision]
         self.types = dict(types or {})
-        self.keys: dict[tuple[str, str], str] = {}
+        self.keys: dict[tuple[str, str], str] = dict(keys or {})
+        #: (key, role or type) of what the last accepted record wrote
+        self.wrote: dict[tuple[str, str], str] = {}
         self.base = {k: v for k, v in (settings.base_tags() | dict(tags or {})).items() if tag_text(v)}
 
     # unpack ---------------------------------------------------------------------------------
@@ -259,26 +263,31 @@ class Encoder:
         elif isinstance(value, datetime):
             ns = self._moment(value, 0)
         elif isinstance(value, str):
-            m = re.fullmatch(r"(.*\d)[.,](\d+)(.*)", value.strip())
-            fraction = int(m[2][:9].ljust(9, "0")) if m else 0
-            try:
-                got = datetime.fromisoformat(m[1] + m[3] if m else value.strip())
-            except ValueError:
-                raise Rejected("invalid_time", f"{value!r} is no ISO 8601 time") from None
-            ns = self._moment(got, fraction)
+            ns = self._iso(value.strip())
         else:
             raise Rejected("invalid_time", f"a {'date' if isinstance(value, date) else type(value).__name__} is no time")
         if not low <= ns <= high:
             raise Rejected("invalid_time", "a time is out of range")
         return ns // self.unit
 
-    def _moment(self, value: datetime, fraction: int) -> int:
-        if value.tzinfo is None:
-            if self.s.naive_datetime != "utc":
-                raise Rejected("naive_datetime", "a time without a zone")
-            value = value.replace(tzinfo=UTC)
-        delta = value - datetime(1970, 1, 1, tzinfo=UTC)
-        return (delta.days * 86400 + delta.seconds) * 10**9 + delta.microseconds * 1000 + fraction
+    def _iso(self, text: str) -> int:
+        """ISO 8601 text; digits of a second beyond the ninth are cut off."""
+        whole, mark, rest = text.replace(",", ".").partition(".")
+        zone = rest.lstrip("0123456789")
+        digits = rest[: len(rest) - len(zone)]
+        try:
+            if mark and not digits:
+                raise ValueError
+            moment = datetime.fromisoformat(whole + zone)
+        except ValueError:
+            raise Rejected("invalid_time", f"{text!r} is no ISO 8601 time") from None
+        return self._moment(moment, int(f"{digits:0<9.9}"))
+
+    def _moment(self, value: datetime, nanoseconds: int) -> int:
+        if value.tzinfo is None and self.s.naive_datetime != "utc":
+            raise Rejected("naive_datetime", "a time without a zone")
+        since = (value if value.tzinfo else value.replace(tzinfo=UTC)) - EPOCH
+        return since // timedelta(microseconds=1) * 1000 + nanoseconds
 
     # tags -----------------------------------------------------------------------------------
     def injected(self, name: str, tags: dict, fields: dict) -> dict:
@@ -381,6 +390,7 @@ class Encoder:
             raise Rejected("invalid_name", "the line would run on")
         self.types |= journal
         self.keys |= keys
+        self.wrote = {mk: self.types.get(mk, "field") if role == "field" else role for mk, role in keys.items()}
         return line
 
     def raw(self, data: str | bytes) -> list[str]:
@@ -396,7 +406,7 @@ class Encoder:
                 if ('"' in x or "\\" in x) and runs_on(x):
                     raise Rejected("invalid_line", f"the line runs on: {x[:100]!r}")
             return [stamped(x, self.now // self.unit) for x in lines] if self.s.auto_timestamp else lines
-        out = []
+        out, wrote = [], {}
         for x in lines:
             if not x.strip():
                 continue
@@ -405,6 +415,8 @@ class Encoder:
             except LineError as e:
                 raise Rejected("invalid_line", str(e)) from None
             out.append(self.line(name, tags, {k: v if not isinstance(v, tuple) else v[1] if v[0] == "i" else UInt(v[1]) for k, v in fields}, at))
+            wrote |= self.wrote
+        self.wrote = wrote
         return out
 
 
@@ -432,12 +444,20 @@ def records(spark: SparkSession, data: Iterable, chunk: int = 25_000) -> DataFra
     ship(spark)
     if isinstance(data, (str, bytes, Mapping, Point)) or hasattr(type(data), "__meterline__"):
         data = [data]
-    out, seq, it = None, 0, iter(data)
-    while part := list(itertools.islice(it, chunk)):
-        df = spark.createDataFrame([_packed(seq + i, r) for i, r in enumerate(part)], ROWS)
-        seq += len(part)
-        out = df if out is None else out.unionAll(df)
-    return out if out is not None else spark.createDataFrame([], ROWS)
+    numbered = enumerate(data)
+    make = lambda: spark.createDataFrame([_packed(i, r) for i, r in itertools.islice(numbered, chunk)], ROWS)
+    first = make()
+    following = next(numbered, None)
+    if following is None:
+        return first
+    # more than one chunk: each is written and let go, so neither driver nor plan grows with the input
+    path = f"{Scratch(spark, 'records').root}/rows"
+    first.write.parquet(path)
+    while following is not None:
+        numbered = itertools.chain([following], numbered)
+        make().write.mode("append").parquet(path)
+        following = next(numbered, None)
+    return spark.read.schema(ROWS).parquet(path)
 
 
 def record_rows(df: DataFrame, make: Callable[[dict], Any], seq: str) -> DataFrame:
@@ -488,18 +508,28 @@ def _kinds(settings: Settings):
 
 
 ROWS = "seq long, measurement string, body binary"
-OUT = "seq long, measurement string, n int, line string, code string, key string, message string"
+LOCKS = "array<struct<measurement:string,key:string,kind:string>>"
+OUT = f"seq long, measurement string, n int, line string, code string, key string, message string, locks {LOCKS}"
+NAMES = ["seq", "measurement", "n", "line", "code", "key", "message", "locks"]
+EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
 
 
-def _encoded(encoder: Encoder, seq: int, body: bytes) -> list[tuple]:
+def _encoded(encoder: Encoder, seq: int, body: bytes, told: set) -> list[tuple]:
+    """Rows of one record; ``locks`` has what an accepted one wrote, as far as not ``told`` before."""
     r = pickle.loads(body)
     try:
         if isinstance(r, (str, bytes)):
-            return [(seq, None, i, x, None, None, None) for i, x in enumerate(encoder.raw(r))]
-        name, line = encoder.record(r)
-        return [(seq, str(name), 0, line, None, None, None)]
+            encoder.wrote = {}
+            lines = [(seq, None, i, x, None, None, None) for i, x in enumerate(encoder.raw(r))]
+        else:
+            name, line = encoder.record(r)
+            lines = [(seq, str(name), 0, line, None, None, None)]
     except Rejected as e:
-        return [(seq, e.measurement, 0, None, e.code, e.key, str(e))]
+        return [(seq, e.measurement, 0, None, e.code, e.key, str(e), None)]
+    new = [x for x in ((str(m), k, kind) for (m, k), kind in encoder.wrote.items()) if x not in told]
+    told.update(new)
+    locks = [{"measurement": m, "key": k, "kind": kind} for m, k, kind in new] or None
+    return [(*x, locks if i == 0 else None) for i, x in enumerate(lines)]
 
 
 class _Locks:
@@ -524,7 +554,7 @@ def _grow(df: DataFrame, make: Callable[[], Encoder], locks: dict[str, _Locks])
 
         def run(frames, active=frozenset(active)):
             enc = make()
-            fixed, found = enc.types, {}
+            fixed, known, found = enc.types, enc.keys, {}
             for pdf in frames:
                 for seq, name, body in zip(pdf["seq"], pdf["measurement"], pdf["body"], strict=True):
                     if name not in active:
@@ -533,12 +563,13 @@ def _grow(df: DataFrame, make: Callable[[], Encoder], locks: dict[str, _Locks])
                     if (own.at and seq <= own.at[-1]) or (name in found and seq >= found[name][0]):
                         continue
                     types, keys = own.states[-1]
-                    enc.types, enc.keys = fixed | types, dict(keys)
+                    enc.types, enc.keys = fixed | types, known | keys
                     try:
                         enc.record(pickle.loads(body))
                     except Rejected:
                         continue
                     new = [{mk: v for mk, v in x.items() if mk[0] == name and mk[1] in own.contested} for x in (enc.types, enc.keys)]
+                    new[1] = {mk: v for mk, v in new[1].items() if known.get(mk) != v}
                     if new != [types, keys]:
                         found[name] = seq, pickle.dumps(tuple(new))
             yield pd.DataFrame([(n, *x) for n, x in found.items()], columns=["measurement", "seq", "state"])
@@ -552,13 +583,16 @@ def _grow(df: DataFrame, make: Callable[[], Encoder], locks: dict[str, _Locks])
         active = {r["measurement"] for r in nearest}
 
 
-def encode_records(df: DataFrame, settings: Settings | None = None, types: dict[tuple[str, str], str] | None = None, now_ns: int | None = None) -> DataFrame:
-    """Lines and rejections of ``records``: seq, measurement, n (line of the record), line, code, key, message.
+def encode_records(df: DataFrame, settings: Settings | None = None, types: dict[tuple[str, str], str] | None = None, now_ns: int | None = None, keys: dict[tuple[str, str], str] | None = None) -> DataFrame:
+    """Lines and rejections of ``records``: seq, measurement, n (line of the record), line, code, key, message, locks.
 
-    Records that share a ``seq`` are judged by the same locks.
+    ``types`` and ``keys`` (names known as "tag" or "field") hold from the first record on.
+    Records that share a ``seq`` are judged by the same locks.  ``locks`` lists the names that
+    accepted records wrote, each once a task at least: "tag", the type a field is locked to,
+    or "field" where types are not locked.
     """
     s, now = settings or Settings(), time.time_ns() if now_ns is None else now_ns
-    types, tags = dict(types or {}), context_tags()
+    types, known, tags = dict(types or {}), dict(keys or {}), context_tags()
     declared = {(m, k) for m, schema in s.measurements.items() for k in schema.fields} | set(types)
     found = df.mapInPandas(_kinds(s), "measurement string, key string, kind string").distinct().collect() if s.type_lock or s.dialect == 3 else []
     seen: dict[tuple[str, str], set[str]] = {}
@@ -572,7 +606,7 @@ def encode_records(df: DataFrame, settings: Settings | None = None, types: dict[
     fixed = types | {mk: next(iter(kinds)) for mk, kinds in seen.items() if "tag" not in kinds and len(kinds) == 1 and mk not in declared}
 
     def make() -> Encoder:
-        return Encoder(s, now, fixed, tags)
+        return Encoder(s, now, fixed, tags, known)
 
     locks = {m: _Locks(keys) for m, keys in contested.items()}
     # a declared type or one handed in is known before the first record
@@ -582,13 +616,13 @@ def encode_records(df: DataFrame, settings: Settings | None = None, types: dict[
 
     def run(frames):
         for pdf in frames:
-            plain, ordered, out = make(), make(), []
+            plain, ordered, out, told = make(), make(), [], set()
             for seq, name, body in zip(pdf["seq"], pdf["measurement"], pdf["body"], strict=True):
                 if name in locks:
                     grown, keys = locks[name].before(seq)
-                    ordered.types, ordered.keys = fixed | grown, dict(keys)
-                out += _encoded(ordered if name in locks else plain, seq, body)
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
+                    ordered.types, ordered.keys = fixed | grown, known | keys
+                out += _encoded(ordered if name in locks else plain, seq, body, told)
+            yield pd.DataFrame(out, columns=NAMES)
 
     return df.mapInPandas(run, OUT)
 

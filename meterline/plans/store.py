@@ -62,8 +62,12 @@ class PointStore:
             fields |= json.loads(r["fields"])
         return out
 
-    def append(self, df: DataFrame, measurement: str, tags: list[str], fields: list[str], time_ns: str = "time_ns", seq: str | None = None, batch: int | None = None) -> None:
-        """Adds points; ``seq`` orders writes within the batch, batches are ordered among themselves."""
+    def append(self, df: DataFrame, measurement: str, tags: list[str], fields: list[str], time_ns: str = "time_ns", seq: str | None = None, batch: int | None = None, writer: str = "append") -> None:
+        """Adds points; ``seq`` orders writes within the batch, batches are ordered by when they began.
+
+        A ``writer`` that numbers its batches (a stream) may write one again: it keeps its
+        place and replaces itself.  Without a number every call is a batch of its own.
+        """
         known_tags, known = self.measurements().get(measurement, ([], {}))
         kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         stored = {c: ("bigint" if kinds[c] in ("int", "smallint", "tinyint") else "double" if kinds[c] == "float" else kinds[c]) for c in fields}
@@ -71,27 +75,62 @@ class PointStore:
             raise ValueError(f"type of field {bad[0]!r} is {known[bad[0]]}, not {stored[bad[0]]}")
         if bad := [c for c in fields if c in known_tags] + [c for c in tags if c in known]:
             raise ValueError(f"{bad[0]!r} cannot be both tag and field")
-        batch = self._batches(measurement) if batch is None else batch
-        order = F.struct(F.lit(batch).cast("long").alias("batch"), (F.col(seq).cast("long") if seq else F.lit(0).cast("long")).alias("seq"))
+        place = self._place(measurement, None if batch is None else f"{writer}.{batch}")
+        order = F.struct(F.lit(place).cast("long").alias("batch"), (F.col(seq).cast("long") if seq else F.lit(0).cast("long")).alias("seq"))
         out = df.select(*(F.col(c).cast("string").alias(c) for c in tags), *(F.col(c).cast(stored[c]).alias(c) for c in fields), F.col(time_ns).cast("long").alias("time_ns"), order.alias("write_seq"))
-        out.write.mode("overwrite").parquet(f"{self.root}/{measurement}/batch={batch}")
+        out.write.mode("overwrite").parquet(f"{self.root}/{measurement}/batch={place}")
         if set(tags) - set(known_tags) or set(fields) - set(known):
             row = [(measurement, json.dumps(tags), json.dumps(stored), uuid.uuid4().hex)]
             self.spark.createDataFrame(row, "name string, tags string, fields string, at string").coalesce(1).write.mode("append").json(f"{self.root}/_catalog")
 
-    def _batches(self, measurement: str) -> int:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{measurement}")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return 0
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return 1 + max((int(n.split("=")[1]) for n in names if n.startswith("batch=")), default=-1)
+    def _path(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def log(self, measurement: str) -> DataFrame:
+    def _create(self, path: str, text: str) -> bool:
+        """Creates a small file; False if it is there already."""
+        p, fs = self._path(path)
+        try:
+            stream = fs.create(p, False)
+        except Exception:
+            if fs.exists(p):
+                return False
+            raise
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
+
+    def _place(self, measurement: str, name: str | None) -> int:
+        """The batch's place in the order of writes: taken by creating a file that no other writer can create too."""
+        order, named = f"{self.root}/_order/{measurement}", f"{self.root}/_names/{measurement}/{name}"
+        p, fs = self._path(named)
+        if name is not None and fs.exists(p):
+            stream = fs.open(p)
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            if text:
+                return int(text)
+            fs.delete(p, False)  # its writer was lost before the place was written down
+        p, fs = self._path(order)
+        taken = [int(s.getPath().getName()) for s in fs.listStatus(p)] if fs.exists(p) else []
+        place = max(taken, default=-1) + 1
+        while not self._create(f"{order}/{place}", name or ""):
+            place += 1
+        if name is not None:
+            self._create(named, str(place))
+        return place
+
+    def _batches(self, measurement: str) -> list[int]:
+        """Places of the batches that are there."""
+        p, fs = self._path(f"{self.root}/{measurement}")
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
+
+    def log(self, measurement: str, paths: list[str] | None = None) -> DataFrame:
         tags, fields = self.measurements()[measurement]
         columns = [(t, "string") for t in tags] + list(fields.items()) + [("time_ns", "bigint"), ("write_seq", "struct<batch:bigint,seq:bigint>")]
         schema = ", ".join(f"`{k}` {v}" for k, v in columns)
-        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{measurement}").parquet(f"{self.root}/{measurement}").drop("batch")
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{measurement}").parquet(*(paths or [f"{self.root}/{measurement}"])).drop("batch")
 
     def read(self, measurement: str) -> DataFrame:
         """Merged points: tags, fields, ``time_ns`` and the derived ``time``."""
@@ -100,13 +139,15 @@ class PointStore:
         return merged.withColumn("time", F.timestamp_micros(F.expr("(time_ns - pmod(time_ns, 1000)) div 1000")))
 
     def compact(self, measurement: str) -> None:
-        """Writes the merged points as the next batch and removes the older ones."""
+        """Writes the merged points as the next batch and removes those it merged; a later replay of one changes nothing."""
         tags, fields = self.measurements()[measurement]
-        n = self._batches(measurement)
-        self.append(self.read(measurement), measurement, tags, list(fields), batch=n)
-        for i in range(n):
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{measurement}/batch={i}")
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        old = self._batches(measurement)
+        paths = [f"{self.root}/{measurement}/batch={i}" for i in old]
+        merged = last_write(self.log(measurement, paths), [*tags, "time_ns"], list(fields), F.col("write_seq"))
+        self.append(merged, measurement, tags, list(fields))
+        for path in paths:
+            p, fs = self._path(path)
+            fs.delete(p, True)
 
     def register(self) -> None:
         """Temporary views of all measurements and of the column catalog."""

@@ -321,11 +321,26 @@ def lock_mixed_fold(spark, t):
     return records.encode_records(_variants(t, True), now_ns=0).select("seq", "code")
 
 
-@query("""SELECT table_name, column_name, CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'INTEGER' THEN 'int' ELSE 'string' END AS data_type
- FROM information_schema.columns WHERE table_name IN ('customer', 'part', 'supplier', 'nation', 'region', 'labels')""")
+_SYNCED = ("customer", "part", "supplier")
+
+
+@query(f"""SELECT table_name, column_name, CASE WHEN data_type = 'DOUBLE' THEN 'Float64' WHEN data_type IN ('BIGINT', 'INTEGER') THEN 'Int64' ELSE 'Dictionary(Int32, Utf8)' END AS data_type,
+ CASE WHEN data_type = 'DOUBLE' THEN 'float' WHEN data_type IN ('BIGINT', 'INTEGER') THEN 'integer' END AS locked
+ FROM information_schema.columns WHERE table_name IN {_SYNCED} UNION ALL SELECT unnest({list(_SYNCED)}), 'time', 'Timestamp(Nanosecond, None)', NULL""")
 def schema_sync_columns(spark, t):
-    rows = [(n, c, k) for n in ("customer", "part", "supplier", "nation", "region", "labels") for c, k in t(n).dtypes]
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+    """Tables in a store (texts as tags), their catalog as a schema reader queries it, and the types a client locks from it."""
+    from meterline.client import Client
+
+    st = store.PointStore(spark, Scratch(spark, "synced").root)
+    for name in _SYNCED:
+        df = t(name)
+        tags = [c for c, k in df.dtypes if k == "string"]
+        st.append(df.withColumn("time_ns", F.lit(0).cast("long")), name, tags, [c for c in df.columns if c not in tags])
+    client = Client(spark, store=st)
+    client.sync_schema()
+    locked = spark.createDataFrame([(*k, v) for k, v in client.locked_types().items()], "table_name string, column_name string, locked string")
+    found = client.query("SELECT table_name, column_name, data_type FROM information_schema.columns").df
+    return found.join(locked, ["table_name", "column_name"], "left")
 
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -472,6 +487,24 @@ def stream_ingest_equals_batch(spark, t):
     return merged.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("user_id").cast("long").alias("ids"))
 
 
+@query("SELECT event_type, epoch_us(ts) * 1000 AS time_ns, arg_max(value, (event_id % 3) * 1099511627776 + event_id) AS value, arg_max(user_id, (event_id % 3) * 1099511627776 + event_id) AS user_id FROM events GROUP BY 1, 2")
+def store_read_in_write_order(spark, t):
+    """A batch, a stream, a compaction and another batch in one store: its own ``read`` lets the later write win."""
+    from meterline.streaming.ingest import to_store
+
+    scratch = Scratch(spark, "ordered")
+    points = _points(t).drop("time")
+    st = store.PointStore(spark, f"{scratch.root}/store")
+    columns = ("events", ["event_type"], ["value", "user_id"])
+    st.append(points.where("event_id % 3 = 0"), *columns, seq="event_id")
+    middle = scratch.keep(points.where("event_id % 3 = 1").repartition(4), "in")
+    stream = spark.readStream.schema(middle.schema).parquet(f"{scratch.root}/in")
+    to_store(stream, st, *columns, "time_ns", f"{scratch.root}/checkpoint", "event_id").awaitTermination()
+    st.compact("events")
+    st.append(points.where("event_id % 3 = 2"), *columns, seq="event_id")
+    return st.read("events").select("event_type", "time_ns", "value", "user_id")
+
+
 @query("SELECT n_name, count(*) AS n, (sum(o_totalprice) * 100)::BIGINT AS cents FROM (SELECT n_name, o_totalprice::DECIMAL(18,2) AS o_totalprice FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey) GROUP BY n_name")
 def sql_join(spark, t):
     for n in ("orders", "customer", "nation"):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,10 +15,14 @@ from meterline.settings import Settings
 
 
 def to_store(stream: DataFrame, store: PointStore, measurement: str, tags: list[str], fields: list[str], time_ns: str, checkpoint: str, seq: str | None = None, **trigger) -> StreamingQuery:
-    """Appends each micro-batch under its own id, so a replayed batch replaces itself."""
+    """Appends each micro-batch under the stream's name and its id, so a replayed batch replaces itself and nothing else.
+
+    The stream's name is its checkpoint's: a stream that starts anew with another one adds to the store.
+    """
+    writer = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint.rstrip("/")).hex
 
     def write(df: DataFrame, batch: int) -> None:
-        store.append(df, measurement, tags, fields, time_ns, seq, batch=batch)
+        store.append(df, measurement, tags, fields, time_ns, seq, batch=batch, writer=writer)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
