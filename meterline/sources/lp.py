@@ -15,7 +15,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamWriter, DataSourceWriter, InputPartition, SimpleDataSourceStreamReader, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceStreamWriter, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from meterline.functions.dialect import DIALECTS
 from meterline.operators import decode
@@ -66,21 +66,31 @@ class _Reader(DataSourceReader):
                 yield partition.path, n, line
 
 
-class _StreamReader(SimpleDataSourceStreamReader):
-    """Files by name order; the offset is the number of files read."""
+class _StreamReader(DataSourceStreamReader):
+    """Files in the order of their last change, then name; every file is read by a task of its own.
+
+    A micro-batch takes all files that are there; one that is put in place later counts as new
+    if its time or, at the same time, its name comes after those taken.
+    """
 
     def __init__(self, options):
-        self.inner, self.most = _Reader(options), int(options.get("maxfilespertrigger", 64))
+        self.inner = _Reader(options)
+
+    def _places(self):
+        for p in self.inner.partitions():
+            yield [os.stat(p.path).st_mtime_ns, p.path], p
 
     def initialOffset(self):
-        return {"files": 0}
+        return {"after": [0, ""]}
 
-    def read(self, start):
-        parts = self.inner.partitions()[start["files"] : start["files"] + self.most]
-        return iter([r for p in parts for r in self.inner.read(p)]), {"files": start["files"] + len(parts)}
+    def latestOffset(self, *_):
+        return {"after": max((place for place, _ in self._places()), default=[0, ""])}
 
-    def readBetweenOffsets(self, start, end):
-        return iter([r for p in self.inner.partitions()[start["files"] : end["files"]] for r in self.inner.read(p)])
+    def partitions(self, start, end):
+        return [p for place, p in self._places() if start["after"] < place <= end["after"]]
+
+    def read(self, partition):
+        return self.inner.read(partition)
 
     def commit(self, end):
         pass
@@ -133,7 +143,7 @@ class LinesSource(DataSource):
     def reader(self, schema):
         return _Reader(self.options)
 
-    def simpleStreamReader(self, schema):
+    def streamReader(self, schema):
         return _StreamReader(self.options)
 
     def writer(self, schema, overwrite):
@@ -150,7 +160,9 @@ class _HttpWriter(DataSourceWriter, DataSourceStreamWriter):
         given = {low[k.replace("_", "").lower()]: v for k, v in options.items() if k.replace("_", "").lower() in low}
         cast = {"int": int, "float": float, "bool": lambda v: str(v).lower() == "true"}
         self.o = HttpOptions(**{k: cast.get(kinds[k], str)(v) for k, v in given.items()})
-        self.dead, self.strict = options.get("deadletters"), str(options.get("failonreject", "false")).lower() == "true"
+        self.dead = options.get("deadletters")
+        # refused lines go to the dead letters; where there are none, the job fails
+        self.strict = str(options.get("failonreject", not self.dead)).lower() == "true"
 
     def write(self, iterator):
         out = Delivery(self.o).run(r["line"] for r in iterator if r["line"] is not None)
@@ -179,7 +191,10 @@ class _HttpWriter(DataSourceWriter, DataSourceStreamWriter):
 
 
 class HttpSource(DataSource):
-    """``df.write.format("lp_http").options(url=..., database=...)``; ``deadLetters`` is a shared folder."""
+    """``df.write.format("lp_http").options(url=..., database=...)``; ``deadLetters`` is a shared folder.
+
+    Without one, a line that the server refuses fails the job (``failOnReject`` false lets it go).
+    """
 
     @classmethod
     def name(cls):
