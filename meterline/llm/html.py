@@ -2,18 +2,23 @@
 
 Method.  The standard library's streaming parser turns a page into lines: the text between
 two block-level tags, with the number of tags met in it.  Each line has a text-to-tag ratio;
-the ratios are smoothed by a Gaussian and a two-means threshold clusters them into content
-and the rest.  Content lines vote for the region (an article or main element, else the
-smallest element that holds most of them) and all of its lines are the main text, so short
-paragraphs inside the article survive.  Parts that their element declares to be something
-else - navigation, header, footer, aside, form, advert, notice, comments, script, style,
-hidden parts - are never lines.
+the ratios of all visible lines - menus, adverts and footers included - are smoothed by a
+Gaussian, and a two-means threshold clusters them into content and the rest.
+
+Content lines vote for the region.  If most of their text lies in article or main elements,
+those of them that hold content are the region; else it is the smallest element that holds
+most of that text; where that is no more than the page's body, the runs of content lines
+themselves are (short lines between them and the headings before them included).  Inside the
+region, elements that declare themselves to be something else - navigation, footer, aside,
+form, advert, notice, comments, hidden parts - are taken out; names such as "header",
+"related" or "share" count there only if most of the element's text is links.
 """
 
 from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +31,15 @@ from meterline.plans.cluster import ship
 # HTML element names and the words that class, id and role attributes use for page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-SKIP = frozenset("nav footer aside form script style noscript template head title button select option textarea iframe object svg canvas audio video dialog menu map label input datalist".split())
-FURNITURE = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsored sponsor promo promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar toolbar comment comments disqus reply replies respond discussion cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget pagination pager skip hidden".split())
+SKIP = frozenset("nav footer aside form button select option textarea dialog menu map label input datalist".split())
+NEVER = frozenset("script style noscript template head title iframe object svg canvas audio video".split())
+FURNITURE = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsored sponsor promo promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs masthead topbar toolbar comment comments disqus reply replies respond discussion cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup login pagination skip hidden".split())
+LINKED = frozenset("footer header pager recommendations recommended related share sharing social widget".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 REGION = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: So many lines that are no content may lie between two content lines of one run.
+GAP = 2
 CLOSED_BY_BLOCK = frozenset(("p",))
 SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _TOKEN = re.compile(r"[a-z]+|[0-9]+")
@@ -38,50 +48,68 @@ _SPACE = re.compile(r"\s+")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    up: tuple[int, ...]  # the open elements' numbers, outermost first
+    linked: int  # characters within links
+    apart: bool  # in an element that declares itself to be no content
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags, regions) lines; ``regions`` are the open elements' numbers, outermost first."""
+    """Collects the lines of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # name, number, furniture
+        self.open: list[tuple[str, int, str]] = []  # name, number, what it declares itself to be
         self.names: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.doubtful: set[int] = set()  # elements that are apart if they mostly link
+        self.lines: list[Line] = []
         self.text: list[str] = []
-        self.tags = 0
-        self.hidden = 0
+        self.aside: list[str] = []
+        self.tags = self.linked = 0
 
-    def furniture(self, tag: str, attrs) -> bool:
+    def declared(self, tag: str, attrs) -> str:
+        """``never`` text, ``apart`` from the content, ``linked`` (apart if it mostly links) or nothing."""
+        if tag in NEVER:
+            return "never"
         if tag in SKIP:
-            return True
+            return "apart"
         inside = any(n in REGION for n, _, _ in self.open)
         if tag == "header":
-            return not inside
+            return "" if inside else "apart"
         if tag in ("html", "body"):
-            return False
+            return ""
+        found = ""
         for k, v in attrs:
             if k == "hidden" or (k == "aria-hidden" and v == "true"):
-                return True
+                return "apart"
             if not v:
                 continue
             if k == "style" and _HIDING.search(v):
-                return True
+                return "apart"
             if k == "role" and v.lower() in ROLES:
-                return True
-            if k in ("class", "id") and tag not in REGION and not FURNITURE.isdisjoint(_TOKEN.findall(_CAMEL.sub(r"\1 \2", v).lower())):
-                return True
-        return False
+                return "apart"
+            if k in ("class", "id") and tag not in REGION:
+                words = _TOKEN.findall(_CAMEL.sub(r"\1 \2", v).lower())
+                if not FURNITURE.isdisjoint(words):
+                    return "apart"
+                if not LINKED.isdisjoint(words):
+                    found = "linked" if inside else "apart"
+        return found
 
     def flush(self) -> None:
-        if self.text:
-            text = _SPACE.sub(" ", "".join(self.text)).strip()
-            if text:
-                self.lines.append((text, self.tags, tuple(n for _, n, _ in self.open)))
-            self.text = []
-        self.tags = 0
+        if self.text or self.aside:
+            up = tuple(n for _, n, _ in self.open)
+            for parts, apart in ((self.text, False), (self.aside, True)):
+                text = _SPACE.sub(" ", "".join(parts)).strip()
+                if text:
+                    self.lines.append(Line(text, self.tags, up, min(self.linked, len(text)), apart))
+                    break
+            self.text, self.aside = [], []
+        self.tags = self.linked = 0
 
     def leave(self, to: int) -> None:
-        for name, _, bad in self.open[to:]:
-            self.hidden -= bad
         if any(name in BLOCK for name, _, _ in self.open[to:]):
             self.flush()
         del self.open[to:]
@@ -107,10 +135,11 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.handle_data(" ")
             return
-        bad = self.furniture(tag, attrs)
-        self.hidden += bad
+        kind = self.declared(tag, attrs)
         self.names.append(tag)
-        self.open.append((tag, len(self.names) - 1, bad))
+        self.open.append((tag, len(self.names) - 1, kind))
+        if kind == "linked":
+            self.doubtful.add(len(self.names) - 1)
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -128,8 +157,12 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if not self.hidden:
-            self.text.append(data)
+        kinds = {kind for _, _, kind in self.open}
+        if "never" in kinds:
+            return
+        (self.aside if "apart" in kinds else self.text).append(data)
+        if any(name == "a" for name, _, _ in self.open):
+            self.linked += len(data.strip())
 
 
 def content(ratio: np.ndarray, sigma: float = 1.0) -> np.ndarray:
@@ -163,24 +196,47 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     lines = p.lines
     if not lines:
         return ""
-    ratio = np.array([len(t) / max(1, n) for t, n, _ in lines])
-    good = content(ratio, sigma)
-    declared = [next((i for i in up if p.names[i] in REGION), None) for _, _, up in lines]
-    if any(d is not None for d in declared):
-        chosen = {d for d, g in zip(declared, good, strict=True) if g and d is not None} or {d for d in declared if d is not None}
-        # an article without a content line next to one with them is a teaser only if it is declared apart
-        keep = [d in chosen for d in declared]
-    else:
-        weight: dict[int, int] = {}
-        for (t, _, up), g in zip(lines, good, strict=True):
-            if g:
-                for i in up:
-                    weight[i] = weight.get(i, 0) + len(t)
-        total = sum(len(t) for (t, _, _), g in zip(lines, good, strict=True) if g)
-        most = [i for i, w in weight.items() if 2 * w >= total and p.names[i] in BLOCK and p.names[i] not in ("p", "li", "td", "h1", "h2", "h3")]
-        region = max(most, default=None)
-        keep = [region is None or region in up for _, _, up in lines]
-    return "\n".join(t for (t, _, _), k in zip(lines, keep, strict=True) if k)
+    good = content(np.array([len(x.text) / max(1, x.tags) for x in lines]), sigma)
+    sizes = {i: [0, 0] for i in p.doubtful}
+    for x in lines:
+        for i in p.doubtful.intersection(x.up):
+            sizes[i][0] += x.linked
+            sizes[i][1] += len(x.text)
+    links = {i for i, (linked, size) in sizes.items() if 2 * linked > size}
+    body = [not x.apart and links.isdisjoint(x.up) for x in lines]
+    inside = region(p.names, lines, good, body)
+    return "\n".join(x.text for x, i, b in zip(lines, inside, body, strict=True) if i and b)
+
+
+def region(names: list[str], lines: list[Line], good: np.ndarray, body: list[bool]) -> list[bool]:
+    """Which lines lie in the region that the content lines vote for."""
+    votes = [len(x.text) if g and b else 0 for x, g, b in zip(lines, good, body, strict=True)]
+    if not any(votes):  # no content line is left: the threshold says nothing about the rest
+        votes = [len(x.text) if b else 0 for x, b in zip(lines, body, strict=True)]
+    total = sum(votes)
+    declared = [next((i for i in x.up if names[i] in REGION), None) for x in lines]
+    if 2 * sum(v for v, d in zip(votes, declared, strict=True) if d is not None) > total:
+        chosen = {d for d, v in zip(declared, votes, strict=True) if v and d is not None}
+        return [d in chosen for d in declared]
+    weight: dict[int, int] = {}
+    for x, v in zip(lines, votes, strict=True):
+        for i in x.up if v else ():
+            weight[i] = weight.get(i, 0) + v
+    most = [i for i, w in weight.items() if 4 * w >= 3 * total and names[i] in BLOCK and names[i] not in ("p", "li", "td", "h1", "h2", "h3", "html", "body")]
+    if most:
+        return [max(most) in x.up for x in lines]
+    # no element stands out: the runs of content lines, joined over short gaps, with the headings before them
+    at = [i for i, v in enumerate(votes) if v]
+    keep = set(at)
+    for i, j in zip(at, at[1:]):
+        if j - i <= GAP + 1:
+            keep.update(range(i, j))
+    for i in sorted(keep):
+        j = i - 1
+        while j >= 0 and any(names[k] in HEADINGS for k in lines[j].up):
+            keep.add(j)
+            j -= 1
+    return [i in keep for i in range(len(lines))]
 
 
 def extract(pages: DataFrame, sigma: float = 1.0) -> DataFrame:
