@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.sample import smallest
-from meterline.llm.words import Words, slices
+from meterline.llm.words import Words, slices, utf8
 from meterline.plans.cluster import ship
 
 PASSAGE, PAIRS, HIDDEN, SHAPES = 64, 128, 16, 6
@@ -41,17 +41,24 @@ def passages(col, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[0], np.cumsum(bags)])
     x = np.zeros((first[-1], WIDTH), np.float32)
     x[:, -1] = np.repeat(np.log1p(n) / 10, bags)
-    if len(w.hash):
+    x[:, -6] = 1 / size
+    if len(w.data):
         row = np.repeat(np.arange(len(n)), n)
         p = first[row] + (np.arange(len(row)) - w.first[row]) // size
-        byte = np.zeros(len(w.data) + 1, np.int64)
-        byte[w.start] = np.diff(p, prepend=0)
-        byte = np.cumsum(byte[:-1])
+        # a byte belongs to the passage of the word it is in or after, before the first word to the row's first
+        off = utf8(col)[1]
+        filled = np.flatnonzero(np.diff(off))
+        byte = np.zeros(len(w.data), np.int64)
+        byte[off[filled]] = first[filled]
+        byte[w.start] = p
+        byte = np.maximum.accumulate(byte)
         m = len(x)
         uni = np.bincount(byte * 128 + _KIND[w.data], minlength=m * 128)[: m * 128].reshape(m, 128)
         k = _CLASS[w.data]
         pair = (k[:-1] * 8 + k[1:]) + 64 * (w.data[:-1] == w.data[1:])
-        two = np.bincount(byte[:-1] * PAIRS + pair, minlength=m * PAIRS)[: m * PAIRS].reshape(m, PAIRS)
+        inside = np.ones(len(w.data), bool)
+        inside[off[1:][filled] - 1] = False  # a row's last byte has no next one
+        two = np.bincount((byte[:-1] * PAIRS + pair)[inside[:-1]], minlength=m * PAIRS)[: m * PAIRS].reshape(m, PAIRS)
         total = np.maximum(1, uni.sum(1, keepdims=True)).astype(np.float32)
         x[:, :128] = np.sqrt(uni / total)
         x[:, 128 : 128 + PAIRS] = np.sqrt(two / total)
@@ -137,21 +144,24 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 14, seed: int
     return model
 
 
-def _encode(size: int):
+def _encode(size: int, bag: int):
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 x, first = passages(part.column("text"), size)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)])], names=["doc_id", "bag"])
+                picks = [np.arange(a, b) if b - a <= bag else np.linspace(a, b - 1, bag).astype(int) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x[i].tobytes() for i in picks], pa.binary())], names=["doc_id", "bag"])
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 4000, folds: int = 5, size: int = PASSAGE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = 4000, folds: int = 5, size: int = PASSAGE, bag: int = 64) -> Model:
     """Fits on at most ``most`` labelled documents outside fold 0 (crc32 of the id's text modulo ``folds``).
 
     The sample is the rows with the smallest hash of their id, so it is the same on every
-    run and independent of order; only these rows' texts are encoded and collected.
+    run and independent of order; only these rows' texts are encoded, and at most ``bag``
+    passages of each, evenly spread over the text, are collected (about 1 KB a passage).
+    Scoring reads every passage.
     """
     ship(docs.sparkSession)
     held = F.crc32(F.col("doc_id").cast("string")) % folds == 0
@@ -162,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 4000, folds: int = 5,
         return fit([], np.zeros(0))
     ids = docs.sparkSession.createDataFrame([(k,) for k in sorted(quality)], "doc_id long")
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id", "left_semi")
-    got = sorted(chosen.mapInArrow(_encode(size), "doc_id long, bag binary").collect(), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], bytes(r["bag"])))
+    got = sorted(chosen.mapInArrow(_encode(size, bag), "doc_id long, bag binary").collect(), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], bytes(r["bag"])))
     return fit([np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH) for r in got], np.array([quality[r["doc_id"]] for r in got]))
 
 
