@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import fingerprint, html, jpeg, langid, mixing, near, packing, quality, substring, urls
+from meterline.llm.sample import within
+from meterline.plans.cluster import Scratch
 
 # Fixed values of the URL query: (verdict, rule).
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -62,7 +64,8 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return urls.judge(pages, urls.Rules(URL_RULES), urls.train(urls.seed_labels(pages)))
+    labels = Scratch(spark, "urls").keep(urls.page_labels(within(pages, "url", urls.SAMPLE)), "labels")
+    return urls.judge(pages, urls.Rules(URL_RULES), urls.train(labels))
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
