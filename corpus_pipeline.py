@@ -44,7 +44,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", good), ("near-dedup", distinct), ("substring-dedup", fresh), ("mixing", mixed), ("packing", packed)]
 
-#: No stage but the second and third can be written in SQL; the tests hold every stage against brute force.
+#: The classifier, the mixture and the packing cannot be written in SQL; tests/llm/test_pipeline.py holds each stage against brute force.
 ORACLE_SQL = None
 
 
