@@ -150,7 +150,7 @@ def components(spark, edges: DataFrame, scratch: Scratch, name: str) -> DataFram
 def _cross(scratch: Scratch, ranked: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) between components of ``ranked(id, comp, n, o)``; no pair that links is left out.
 
-    ``o`` are a set's shingles from the rarest on.  Two sets that link share a shingle among
+    ``o`` are a set's shingles from the rarest on, ``n - need + 2`` at least.  Two sets that link share a shingle among
     the first ``n - need + 1`` of each, and ``l`` shingles among the first ``n - need + l``.
     Rows meet under a key, at first one shingle.  A key of at most ``GROUP`` rows is joined
     as it is.  In a larger one sizes and positions are counted first and only those
@@ -252,6 +252,8 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = 80, m: int = COL
     tokens = sets.join(rest, "id").select("id", "comp", F.size("s").alias("n"), F.explode("s").alias("s"))
     rare = sets.join(rest, "id").select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("df"))
     ranked = tokens.join(rare, "s").groupBy("id", "comp", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
+    # keys of two shingles reach one place further than those of one
+    ranked = ranked.withColumn("o", F.slice("o", 1, F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 2))
     cross = _cross(scratch, scratch.keep(ranked, "ranked"), percent)
     more = verified(cross, "more")
     if not more.isEmpty():
