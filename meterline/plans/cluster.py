@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when its counted rows times the stated row width stay under this.
 BROADCAST_BYTES = 32 << 20
-#: Spark's switch for removing an execution's shuffle files when it ends.
-FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a scratch table is written: its shuffle files go when it is done, and Arrow batches stay small.
+WHILE_KEEPING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 _shipped: dict[str, str] = {}
 _roots: dict[str, str] = {}
 
@@ -68,12 +68,14 @@ class Scratch:
     def keep(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         """Writes ``df`` and returns it as a table scan; the shuffle files it took are removed once it is written."""
         path = f"{self.root}/{name}"
-        was = self.spark.conf.get(FREE_SHUFFLES, None)
-        self.spark.conf.set(FREE_SHUFFLES, "true")
+        was = {k: self.spark.conf.get(k, None) for k in WHILE_KEEPING}
         try:
+            for k, v in WHILE_KEEPING.items():
+                self.spark.conf.set(k, v)
             df.write.mode("overwrite").option("compression", codec).parquet(path)
         finally:
-            self.spark.conf.unset(FREE_SHUFFLES) if was is None else self.spark.conf.set(FREE_SHUFFLES, was)
+            for k, v in was.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
