@@ -5,8 +5,9 @@ restart markers, subsampled chroma): each scan adds its share to one int32 array
 Scans are decoded bit by bit in general; where a scan's Huffman table makes every unit the
 same number of bits long the whole scan is decoded as one numpy gather instead.
 
-``encode_payload`` stores bytes losslessly as quantised coefficients (the format's own unit):
-64 bytes make one block, each byte a coefficient of magnitude 2 to 129, so no coefficient is
+``encode_payload`` stores bytes losslessly as quantised coefficients (the format's own unit) of
+a colour file with chroma halved both ways: 64 bytes make one block, six blocks an MCU (four of
+Y, one each of Cb and Cr), each byte a coefficient of magnitude 2 to 129, so no coefficient is
 zero.  Its tables give a magnitude of ``s`` bits a code of ``8 - s`` bits, hence every AC unit
 has exactly eight bits, the refinement of a block exactly 64, and both ways are vectorised.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +49,14 @@ class Huffman:
                 code, k = code + 1, k + 1
             code <<= 1
 
+    @lru_cache(256)  # files repeat their tables
     def unit(self, dc: bool) -> int | None:
         """Bits of every unit (code and magnitude) if all are alike and each holds one value."""
         sizes = {n + (s if dc else s & 15) for (n, _), s in self.code.items()}
         plain = dc or all(s >> 4 == 0 and s & 15 for s in self.code.values())
         return sizes.pop() if plain and len(sizes) == 1 else None
 
+    @lru_cache(256)
     def values(self, unit: int) -> np.ndarray:
         """Value of every ``unit``-bit pattern."""
         out = np.zeros(1 << unit, np.int32)
@@ -91,6 +95,9 @@ class _Bits:
         return v if v >> (s - 1) else v - (1 << s) + 1
 
 
+_huffman = lru_cache(256)(lambda counts, symbols: Huffman(list(counts), symbols))
+
+
 class Frame:
     """A decoded file: size, components with ``coef`` of shape (block rows, block columns, 64) in zigzag order."""
 
@@ -130,18 +137,43 @@ class Frame:
             x = x.reshape(-1, 8) @ _DCT  # along each row
             x = x.reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 8) @ _DCT
             x = x.reshape(rows, cols, 8, 8).transpose(0, 3, 1, 2).reshape(rows * 8, cols * 8)
+            x = np.clip(np.rint(x + 128), 0, 255)  # samples are whole 8-bit numbers before colours are made
             x = np.repeat(np.repeat(x, self.vmax // c.v, 0), self.hmax // c.h, 1)
             planes.append(x[: self.height, : self.width])
         if len(planes) == 1:
-            grey = np.clip(np.rint(planes[0] + 128), 0, 255).astype(np.uint8)
-            return np.repeat(grey[:, :, None], 3, 2)
-        y, cb, cr = planes[0] + 128, planes[1], planes[2]
-        out = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], -1)
-        return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+            return np.repeat(planes[0].astype(np.uint8)[:, :, None], 3, 2)
+        y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
+        out = np.empty((self.height, self.width, 3), np.uint8)
+        for i, x in enumerate((1.402 * cr, -0.344136 * cb - 0.714136 * cr, 1.772 * cb)):
+            out[:, :, i] = np.clip(np.rint(y + x), 0, 255)
+        return out
+
+
+def _interleaved_dc(frame: Frame, chosen, tables, ah: int, al: int, data: bytes) -> bool:
+    """A DC scan of several components at once; false if its units differ in length or are cut off."""
+    sizes = {1} if ah else {tables[0, t].unit(True) for _, t, _ in chosen}
+    unit = sizes.pop()
+    if sizes or not unit or unit > 16:
+        return False
+    per = [c.h * c.v for c, _, _ in chosen]
+    n = frame.mh * frame.mw
+    if 8 * len(data) < n * sum(per) * unit:
+        return False
+    bits = np.unpackbits(np.frombuffer(data, np.uint8))[: n * sum(per) * unit].reshape(n, sum(per), unit)
+    at = bits @ (1 << np.arange(unit - 1, -1, -1))
+    for (c, t, _), part in zip(chosen, np.split(at, np.cumsum(per)[:-1], axis=1), strict=True):
+        if not ah:
+            c.coef[:, :, 0] = 0
+            part = np.cumsum(tables[0, t].values(unit)[part.ravel()])
+        part = part.reshape(frame.mh, frame.mw, c.v, c.h).transpose(0, 2, 1, 3).reshape(c.coef.shape[:2])
+        c.coef[:, :, 0] |= part.astype(np.int32) << al
+    return True
 
 
 def _scan(frame: Frame, chosen, tables, ss: int, se: int, ah: int, al: int, chunks: list[bytes], restart: int) -> None:
     c = chosen[0][0]
+    if len(chosen) > 1 and not restart and ss == 0 and _interleaved_dc(frame, chosen, tables, ah, al, chunks[0]):
+        return
     one = len(chosen) == 1 and not restart
     rows, cols = -(-c.hh // 8), -(-c.w // 8)
     area = c.coef[:rows, :cols] if one else None
@@ -267,9 +299,8 @@ def decode(data: bytes) -> Frame:
             raise ValueError("not a progressive file")
         elif kind == 0xC4:
             while body:
-                counts = list(body[1:17])
-                n = sum(counts)
-                tables[body[0] >> 4, body[0] & 15] = Huffman(counts, body[17 : 17 + n])
+                n = sum(body[1:17])
+                tables[body[0] >> 4, body[0] & 15] = _huffman(body[1:17], body[17 : 17 + n])
                 body = body[17 + n :]
         elif kind == 0xDD:
             (restart,) = struct.unpack(">H", body)
@@ -309,6 +340,8 @@ _AC_TABLE = _segment(0xC4, bytes([0x10, *([1] * 7), *([0] * 9), *range(7, 0, -1)
 _EOB_TABLE = _segment(0xC4, bytes([0x11, 1, *([0] * 15), 0]))
 _FLAT = _segment(0xDB, bytes([0, *([1] * 64)]))
 _VALUE = np.where(np.arange(256) < 128, np.arange(256) - 129, np.arange(256) - 126).astype(np.int32)
+_LOW = (np.abs(_VALUE) & 1).astype(np.uint8)
+_MCU = 6  # blocks of an MCU: Y two by two, Cb, Cr
 
 
 def _units(values: np.ndarray, unit: int) -> np.ndarray:
@@ -331,35 +364,50 @@ def _bit_string(bits: np.ndarray) -> bytes:
     return _entropy(np.packbits(np.concatenate([bits, np.ones(pad, np.uint8)]) if pad else bits))
 
 
-def _sos(table: int, ss: int, se: int, ah: int, al: int) -> bytes:
-    return _segment(0xDA, bytes([1, 1, table, ss, se, ah << 4 | al]))
+def _sos(parts: list[int], table: int, ss: int, se: int, ah: int, al: int) -> bytes:
+    return _segment(0xDA, bytes([len(parts), *(x for c in parts for x in (c, table)), ss, se, ah << 4 | al]))
+
+
+def _refined(blocks: np.ndarray) -> bytes:
+    """Low bits of each block's AC magnitudes, behind the end-of-band code."""
+    low = _LOW[blocks]
+    low[:, 0] = 0
+    return _entropy(np.packbits(low.ravel()))
 
 
 def encode_payload(payload: bytes) -> bytes:
-    """A one-component progressive file whose coefficients are ``payload`` (a multiple of 64 bytes)."""
-    n = len(payload) // 64
-    rows = min(8000, -(-n // 16))  # a side holds at most 65535 samples
-    cols = -(-n // rows)
-    data = np.zeros(rows * cols * 64, np.uint8)
+    """A progressive YCbCr file, chroma halved both ways, whose coefficients are ``payload`` (a multiple of 64 bytes).
+
+    Six blocks in turn make an MCU: four of Y, one of Cb, one of Cr.
+    """
+    n = -(-len(payload) // (64 * _MCU))
+    rows = max(1, min(4000, -(-n // 16)))  # a side holds at most 65535 samples
+    cols = max(1, -(-n // rows))
+    data = np.zeros(rows * cols * _MCU * 64, np.uint8)
     data[: len(payload)] = np.frombuffer(payload, np.uint8)
-    data = data.reshape(-1, 64)
-    dc = _VALUE[data[:, 0]]
-    first = _units(np.diff(dc >> 1, prepend=0), 9)
-    bits = (first[:, None] >> np.arange(8, -1, -1) & 1).astype(np.uint8).ravel()
-    low = (np.abs(_VALUE) & 1).astype(np.uint8)[data]
-    low[:, 0] = 0  # the end-of-band code before each block's correction bits
+    data = data.reshape(rows, cols, _MCU, 64)
+    y = data[:, :, :4].reshape(rows, cols, 2, 2, 64).transpose(0, 2, 1, 3, 4).reshape(-1, 64)
+    cb, cr = data[:, :, 4].reshape(-1, 64), data[:, :, 5].reshape(-1, 64)
+    dc = _VALUE[data[..., 0].reshape(-1, _MCU)]
+    half = dc >> 1
+    diff = np.column_stack([np.diff(half[:, :4].ravel(), prepend=0).reshape(-1, 4), np.diff(half[:, 4:], axis=0, prepend=0)])
+    bits = (_units(diff, 9)[..., None] >> np.arange(8, -1, -1) & 1).astype(np.uint8).ravel()
     return b"".join(
         [
             b"\xff\xd8",
             _segment(0xFE, struct.pack(">Q", len(payload))),
             _FLAT,
-            _segment(0xC2, struct.pack(">BHHB", 8, rows * 8, cols * 8, 1) + bytes([1, 0x11, 0])),
+            _segment(0xC2, struct.pack(">BHHB", 8, rows * 16, cols * 16, 3) + bytes([1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0])),
             _DC_TABLE + _AC_TABLE + _EOB_TABLE,
-            _sos(0x00, 0, 0, 0, 1) + _bit_string(bits),
-            _sos(0x00, 1, 5, 0, 1) + _entropy(_AC_BYTE[data[:, 1:6]]),
-            _sos(0x00, 6, 63, 0, 1) + _entropy(_AC_BYTE[data[:, 6:]]),
-            _sos(0x00, 0, 0, 1, 0) + _bit_string((dc & 1).astype(np.uint8)),
-            _sos(0x01, 1, 63, 1, 0) + _entropy(np.packbits(low.ravel())),
+            _sos([1, 2, 3], 0x00, 0, 0, 0, 1) + _bit_string(bits),
+            _sos([1], 0x00, 1, 5, 0, 1) + _entropy(_AC_BYTE[y[:, 1:6]]),
+            _sos([3], 0x00, 1, 63, 0, 1) + _entropy(_AC_BYTE[cr[:, 1:]]),
+            _sos([2], 0x00, 1, 63, 0, 1) + _entropy(_AC_BYTE[cb[:, 1:]]),
+            _sos([1], 0x00, 6, 63, 0, 1) + _entropy(_AC_BYTE[y[:, 6:]]),
+            _sos([1, 2, 3], 0x00, 0, 0, 1, 0) + _bit_string((dc & 1).astype(np.uint8).ravel()),
+            _sos([3], 0x01, 1, 63, 1, 0) + _refined(cr),
+            _sos([2], 0x01, 1, 63, 1, 0) + _refined(cb),
+            _sos([1], 0x01, 1, 63, 1, 0) + _refined(y),
             b"\xff\xd9",
         ]
     )
@@ -368,7 +416,9 @@ def encode_payload(payload: bytes) -> bytes:
 def read_payload(frame: Frame) -> bytes:
     """The bytes that ``encode_payload`` stored."""
     (n,) = struct.unpack(">Q", frame.comment)
-    v = frame.parts[0].coef.reshape(-1)[:n]
+    # each component's blocks in MCU order
+    parts = [c.coef.reshape(frame.mh, c.v, frame.mw, c.h, 64).transpose(0, 2, 1, 3, 4).reshape(frame.mh, frame.mw, c.h * c.v, 64) for c in frame.parts]
+    v = np.concatenate(parts, axis=2).reshape(-1)[:n]
     return np.where(v < 0, v + 129, v + 126).astype(np.uint8).tobytes()
 
 

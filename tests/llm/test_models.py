@@ -150,3 +150,39 @@ def test_stored_texts(spark):
     # the stored column is what is read: another file in it gives another result
     swapped = jpeg.encode_texts(docs).withColumn("media", F.lit(jpeg.encode_payload(b"z" * 64)))
     assert {r["payload_sha256"] for r in jpeg.read_texts(swapped).collect()} == {hashlib.sha256(b"z" * 64).hexdigest()}
+
+
+def test_stored_texts_are_colour_files_with_halved_chroma(spark):
+    """op7's tensors against a plain transform of the payload's blocks: four of Y, one of Cb, one of Cr an MCU."""
+    r = np.random.default_rng(5)
+    texts = ["", "Grün, blau. " * 40, "".join(map(chr, r.integers(1, 900, 30000)))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wave = np.array([[np.cos((2 * x + 1) * u * np.pi / 16) * (0.5 if u else 0.125**0.5) for x in range(8)] for u in range(8)])
+    places = sorted(((i, j) for i in range(8) for j in range(8)), key=lambda p: (sum(p), p[0] if sum(p) % 2 else p[1]))
+    for row in jpeg.store_texts(docs, media=True).collect():
+        file, payload = bytes(row["media"]), jpeg.padded(texts[row["doc_id"]].encode())
+        frame = jpeg.decode(file)
+        assert [(c.h, c.v) for c in frame.parts] == [(2, 2), (1, 1), (1, 1)]
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(jpeg.Huffman, "unit", lambda self, dc: None)
+            slow = jpeg.decode(file)
+        assert all(np.array_equal(a.coef, b.coef) for a, b in zip(frame.parts, slow.parts, strict=True))
+
+        mcus = frame.mh * frame.mw
+        raw = np.frombuffer(payload + bytes(384 * mcus - len(payload)), np.uint8).astype(int).reshape(mcus, 6, 64)
+        want = np.zeros((frame.height, frame.width, 3))
+        for k, mcu in enumerate(raw):
+            six = []
+            for block in mcu:
+                coef = np.zeros((8, 8))
+                for place, b in zip(places, block, strict=True):
+                    coef[place] = b - 129 if b < 128 else b - 126
+                six.append(np.clip(np.rint(wave.T @ coef @ wave + 128), 0, 255))
+            y = np.block([[six[0], six[1]], [six[2], six[3]]])
+            cb, cr = (np.kron(x - 128, np.ones((2, 2))) for x in six[4:])
+            top, left = 16 * (k // frame.mw), 16 * (k % frame.mw)
+            want[top : top + 16, left : left + 16] = np.dstack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb])
+        got = frame.rgb().astype(int)
+        assert (got[..., 0] != got[..., 2]).any()
+        assert (np.abs(got - np.clip(np.rint(want), 0, 255)) > 0).mean() < 0.001  # single against double precision
+        assert row["feature"] == jpeg.features(frame.rgb()) and row["feature"].startswith(f"{frame.height}x{frame.width};")
