@@ -2,14 +2,15 @@
 
 The decoder reads any 8-bit progressive file (spectral selection, successive approximation,
 restart markers, subsampled chroma): each scan adds its share to one int32 array a component.
-Scans are decoded bit by bit in general; where a scan's Huffman table makes every unit the
-same number of bits long the whole scan is decoded as one numpy gather instead.
+A scan's units (Huffman code and magnitude) differ in length, so where each begins depends on
+all before it: numpy reads the length of the unit that would begin at every bit, a short loop
+walks from unit to unit, and numpy turns the units met into coefficients.  Refinements walk
+from symbol to symbol.  Scans with restart markers are decoded bit by bit; where a table makes
+every unit of a one-component scan the same number of bits long, one numpy gather does.
 
 ``encode_payload`` stores bytes losslessly as quantised coefficients (the format's own unit) of
 a colour file with chroma halved both ways: 64 bytes make one block, six blocks an MCU (four of
-Y, one each of Cb and Cr), each byte a coefficient of magnitude 2 to 129, so no coefficient is
-zero.  Its tables give a magnitude of ``s`` bits a code of ``8 - s`` bits, hence every AC unit
-has exactly eight bits, the refinement of a block exactly 64, and both ways are vectorised.
+Y, one each of Cb and Cr), each byte a signed coefficient.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -56,6 +58,16 @@ class Huffman:
         plain = dc or all(s >> 4 == 0 and s & 15 for s in self.code.values())
         return sizes.pop() if plain and len(sizes) == 1 else None
 
+    @lru_cache(256)
+    def windows(self, dc: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every 16 bits: bits of the unit they begin with (255: no code), of its code, and its symbol."""
+        whole, code_bits, symbol = np.full(1 << 16, 255, np.uint8), np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint8)
+        for (n, code), s in self.code.items():
+            part = slice(code << (16 - n), (code + 1) << (16 - n))
+            more = s if dc else s & 15 or (s >> 4 if s < 0xF0 else 0)
+            whole[part], code_bits[part], symbol[part] = n + more, n, s
+        return whole, code_bits, symbol
+
     @lru_cache(256)
     def values(self, unit: int) -> np.ndarray:
         """Value of every ``unit``-bit pattern."""
@@ -149,31 +161,157 @@ class Frame:
         return out
 
 
-def _interleaved_dc(frame: Frame, chosen, tables, ah: int, al: int, data: bytes) -> bool:
-    """A DC scan of several components at once; false if its units differ in length or are cut off."""
-    sizes = {1} if ah else {tables[0, t].unit(True) for _, t, _ in chosen}
-    unit = sizes.pop()
-    if sizes or not unit or unit > 16:
-        return False
-    per = [c.h * c.v for c, _, _ in chosen]
-    n = frame.mh * frame.mw
-    if 8 * len(data) < n * sum(per) * unit:
-        return False
-    bits = np.unpackbits(np.frombuffer(data, np.uint8))[: n * sum(per) * unit].reshape(n, sum(per), unit)
-    at = bits @ (1 << np.arange(unit - 1, -1, -1))
-    for (c, t, _), part in zip(chosen, np.split(at, np.cumsum(per)[:-1], axis=1), strict=True):
+def _at_every_bit(data: bytes) -> np.ndarray:
+    """The 16 bits from every bit on; ones follow the last, for some bytes."""
+    raw = np.frombuffer(data + b"\xff" * 8, np.uint8).astype(np.uint32)
+    three = raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]
+    return (three[:, None] >> np.arange(8, 0, -1, dtype=np.uint32)).astype(np.uint16).ravel()
+
+
+def _magnitudes(window: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Values of the first ``bits`` bits of each window."""
+    x = window >> (16 - bits).astype(np.uint16)
+    return x - _BELOW.take(bits << np.uint8(1) | (window >> 15).astype(np.uint8))
+
+
+#: What to take from a magnitude of s bits, at 2s if its first bit is 0 and at 2s + 1 if it is 1.
+_BELOW = np.array([k for s in range(16) for k in ((1 << s) - 1, 0)], np.int32)
+_BELOW[:2] = 0
+_PIECE = 1 << 20  # bytes of a scan that are decoded, and units that are joined, at a time
+
+
+def _dc(frame: Frame, chosen, tables, ah: int, al: int, data: bytes) -> None:
+    """A DC scan of one or more components."""
+    alone = len(chosen) == 1
+    high, wide = (-(-chosen[0][0].hh // 8), -(-chosen[0][0].w // 8)) if alone else (frame.mh, frame.mw)
+    shapes = [(1, 1) if alone else (c.v, c.h) for c, _, _ in chosen]
+    per = [v * h for v, h in shapes]
+    n = high * wide
+    if ah:
+        got = np.unpackbits(np.frombuffer(data, np.uint8))[: n * sum(per)].reshape(n, -1)
+    else:
+        bits = _at_every_bit(data)
+        turn = [tables[0, t] for (_, t, _), k in zip(chosen, per, strict=True) for _ in range(k)]
+        sizes = {t: t.windows(True)[0].take(bits).tobytes() for t in set(turn)}
+        met, p, order = array("q"), 0, [sizes[t] for t in turn]
+        for _ in range(n):
+            for size in order:
+                met.append(p)
+                p += size[p]
+        at = np.frombuffer(met, np.int64).reshape(n, -1)
+        got = np.empty(at.shape, np.int32)
+        for t in sizes:
+            mine = [i for i, x in enumerate(turn) if x is t]
+            whole, code_bits, symbol = t.windows(True)
+            places = at if len(mine) == len(turn) else at[:, mine]
+            here = bits.take(places)
+            if (whole.take(here) == 255).any():
+                raise ValueError("bad Huffman code")
+            got[:, mine] = _magnitudes(bits.take(places + code_bits.take(here)), symbol.take(here))
+    for (c, _, _), (v, h), part in zip(chosen, shapes, np.split(got, np.cumsum(per)[:-1], axis=1), strict=True):
+        area = c.coef[: high * v, : wide * h, 0]
         if not ah:
-            c.coef[:, :, 0] = 0
-            part = np.cumsum(tables[0, t].values(unit)[part.ravel()])
-        part = part.reshape(frame.mh, frame.mw, c.v, c.h).transpose(0, 2, 1, 3).reshape(c.coef.shape[:2])
-        c.coef[:, :, 0] |= part.astype(np.int32) << al
-    return True
+            part = np.cumsum(part.ravel())
+        part = part.reshape(high, wide, v, h).transpose(0, 2, 1, 3).reshape(area.shape).astype(np.int32) << al
+        area[:] = area | part if ah else part
+
+
+def _first_band(area: np.ndarray, table: Huffman, ss: int, se: int, al: int, data: bytes) -> None:
+    """The first scan of AC coefficients ``ss`` to ``se`` of one component's blocks."""
+    rows, cols, _ = area.shape
+    width = se - ss + 1
+    band = np.zeros(rows * cols * width, np.int32)
+    whole, code_bits, symbol = table.windows(False)
+    p = done = 0  # bit, and place behind the last unit, all blocks' bands in one row
+    for lo in range(0, len(data), _PIECE):
+        bits = _at_every_bit(data[lo : lo + _PIECE + 8])
+        size, met, end = whole.take(bits).tobytes(), array("q"), 8 * min(_PIECE, len(data) - lo)
+        while p < end:
+            met.append(p)
+            p += size[p]
+        p -= 8 * _PIECE
+        at = np.frombuffer(met, np.int64)
+        here = bits.take(at)
+        bad = np.flatnonzero(whole.take(here) == 255)
+        if len(bad):
+            at, here = at[: bad[0]], here[: bad[0]]
+        kind = symbol.take(here)
+        run, s = kind >> 4, kind & 15
+        after = bits.take(at + code_bits.take(here))
+        step = run + np.int64(1)
+        stop = np.flatnonzero((s == 0) & (run < 15))  # ends of band
+        if len(stop):
+            step[stop] = 0
+            ends = np.cumsum(step)[stop]
+            ends += done % width
+            ends[1:] -= ends[:-1].copy()  # lengths from one to the next
+            more = run[stop]
+            step[stop] = width * (ends // width + (1 << more.astype(np.int64)) + (after[stop] >> (16 - more).astype(np.uint16))) - ends
+        to = np.cumsum(step)
+        to += done % width
+        to += done // width * width
+        done = int(to[-1]) if len(to) else done
+        keep = s > 0
+        if done > len(band):  # what follows the last block is filling
+            keep &= to <= len(band)
+        if not keep.all():
+            to, s, run, after = to[keep], s[keep], run[keep], after[keep]
+        to -= 1
+        if run.any() and (to % width < run).any():
+            raise ValueError("a run leaves its block")
+        band[to] = _magnitudes(after, s) << al
+        if len(bad) or done >= len(band):
+            break
+    if done < len(band):
+        raise ValueError("the scan ends early")
+    area[:, :, ss : se + 1] = band.reshape(rows, cols, width)
+
+
+def _more_band(area: np.ndarray, table: Huffman, ss: int, se: int, al: int, data: bytes) -> None:
+    """A refinement of AC coefficients ``ss`` to ``se``: bits of those known, and new ones of magnitude one."""
+    width = se - ss + 1
+    band = area[:, :, ss : se + 1].reshape(-1)
+    known = np.flatnonzero(band)
+    zero = np.flatnonzero(band == 0)
+    before = np.searchsorted(known, np.arange(0, len(band) + 1, width)).tolist()  # known ones before each block
+    _, code_bits, symbol = table.windows(False)
+    data += b"\xff" * 8
+    at = seen = p = 0
+    starts, counts, new, signs = [], [], [], []
+    while at < len(band):
+        if p >= 8 * len(data) - 64:
+            raise ValueError("the scan ends early")
+        ahead = int.from_bytes(data[p >> 3 : (p >> 3) + 5], "big") << (p & 7) & 0xFFFFFFFFFF
+        n, s = int(code_bits[ahead >> 24]), int(symbol[ahead >> 24])
+        if not n:
+            raise ValueError("bad Huffman code")
+        run, s, rest = s >> 4, s & 15, ahead << n & 0xFFFFFFFFFF
+        p += n
+        if not s and run < 15:
+            last = min(at // width + (1 << run) + (rest >> (40 - run)), len(before) - 1)
+            p += run
+            to, count = last * width, before[last] - seen
+        else:
+            if (i := at - seen + run) >= len(zero) or (to := int(zero[i]) + 1) > (at // width + 1) * width:
+                raise ValueError("a run leaves its block")
+            count = to - 1 - at - run
+            if s:
+                new.append(to - 1)
+                signs.append(rest >> 39)
+                p += 1
+        starts.append(p - seen)
+        counts.append(count)
+        p, seen, at = p + count, seen + count, to
+    if p > 8 * len(data) - 64:
+        raise ValueError("the scan ends early")
+    bit = np.unpackbits(np.frombuffer(data, np.uint8))[np.repeat(starts, counts) + np.arange(seen)].astype(np.int32)
+    band[known] += np.sign(band[known]) * (bit << al)
+    band[new] = (2 * np.array(signs, np.int32) - 1) << al
+    area[:, :, ss : se + 1] = band.reshape(*area.shape[:2], width)
 
 
 def _scan(frame: Frame, chosen, tables, ss: int, se: int, ah: int, al: int, chunks: list[bytes], restart: int) -> None:
     c = chosen[0][0]
-    if len(chosen) > 1 and not restart and ss == 0 and _interleaved_dc(frame, chosen, tables, ah, al, chunks[0]):
-        return
     one = len(chosen) == 1 and not restart
     rows, cols = -(-c.hh // 8), -(-c.w // 8)
     area = c.coef[:rows, :cols] if one else None
@@ -182,24 +320,22 @@ def _scan(frame: Frame, chosen, tables, ss: int, se: int, ah: int, al: int, chun
         diff = tables[0, chosen[0][1]].values(unit)[bits @ (1 << np.arange(unit - 1, -1, -1))]
         area[:, :, 0] = (np.cumsum(diff) << al).reshape(rows, cols)
         return
-    if one and ss == 0:
-        if ah:
-            bits = np.unpackbits(np.frombuffer(chunks[0], np.uint8))[: rows * cols]
-            area[:, :, 0] |= bits.astype(np.int32).reshape(rows, cols) << al
-            return
-    elif one and not ah and (unit := tables[1, chosen[0][2]].unit(False)) and unit <= 16:
+    if ss == 0 and not restart:
+        _dc(frame, chosen, tables, ah, al, chunks[0])
+        return
+    if one and not ah and (unit := tables[1, chosen[0][2]].unit(False)) and unit <= 16:
         n = rows * cols * (se - ss + 1)
         raw = np.frombuffer(chunks[0], np.uint8)
         at = raw[:n] if unit == 8 else np.unpackbits(raw)[: n * unit].reshape(-1, unit) @ (1 << np.arange(unit - 1, -1, -1))
         area[:, :, ss : se + 1] = (tables[1, chosen[0][2]].values(unit)[at] * (1 << al)).reshape(rows, cols, -1)
         return
-    elif one and ah and set(tables[1, chosen[0][2]].code.values()) == {0} and area[:, :, ss : se + 1].all():
-        code = next(n for n, _ in tables[1, chosen[0][2]].code)
-        width = code + se - ss + 1
-        bits = np.unpackbits(np.frombuffer(chunks[0], np.uint8))[: rows * cols * width].reshape(rows, cols, width)[:, :, code:]
-        part = area[:, :, ss : se + 1]
-        area[:, :, ss : se + 1] = part + np.sign(part) * (bits.astype(np.int32) << al)
+    if one:
+        (_more_band if ah else _first_band)(area, tables[1, chosen[0][2]], ss, se, al, chunks[0])
         return
+    _by_bits(frame, chosen, tables, ss, se, ah, al, chunks, restart)
+
+
+def _by_bits(frame: Frame, chosen, tables, ss: int, se: int, ah: int, al: int, chunks: list[bytes], restart: int) -> None:
     units = frame.units([x[0] for x in chosen])
     of = {x[0].ident: x for x in chosen}
     step = restart or len(units)
@@ -334,83 +470,209 @@ def _segment(kind: int, body: bytes) -> bytes:
     return bytes([0xFF, kind]) + struct.pack(">H", len(body) + 2) + body
 
 
-#: Magnitudes of s bits get codes of UNIT - s bits: DC units have 9 bits (sizes 0 to 8), AC units 8 (sizes 1 to 7).
-_DC_TABLE = _segment(0xC4, bytes([0x00, *([1] * 9), *([0] * 7), *range(8, -1, -1)]))
-_AC_TABLE = _segment(0xC4, bytes([0x10, *([1] * 7), *([0] * 9), *range(7, 0, -1)]))
-_EOB_TABLE = _segment(0xC4, bytes([0x11, 1, *([0] * 15), 0]))
-_FLAT = _segment(0xDB, bytes([0, *([1] * 64)]))
-_VALUE = np.where(np.arange(256) < 128, np.arange(256) - 129, np.arange(256) - 126).astype(np.int32)
-_LOW = (np.abs(_VALUE) & 1).astype(np.uint8)
-_MCU = 6  # blocks of an MCU: Y two by two, Cb, Cr
-
-
-def _units(values: np.ndarray, unit: int) -> np.ndarray:
-    """Bit pattern of each value under a table whose size-s code is a run of ones closed by a zero."""
-    size = np.frexp(np.abs(values).astype(np.float64))[1]
-    code = ((1 << (unit - size)) - 2).astype(np.int64)  # ones, then a zero
-    extra = np.where(values < 0, values + (1 << size) - 1, values)
-    return (code << size) | extra
+def _table(ident: int, bits: dict[int, int]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """A table segment, and each symbol's code and its length, for ``bits`` of a code by symbol."""
+    order = sorted(bits, key=lambda s: (bits[s], s))
+    counts = bytes(sum(n == k for n in bits.values()) for k in range(1, 17))
+    codes, sizes = np.zeros(256, np.int64), np.zeros(256, np.int64)
+    for (n, code), s in Huffman(list(counts), bytes(order)).code.items():
+        codes[s], sizes[s] = code, n
+    return _segment(0xC4, bytes([ident]) + counts + bytes(order)), codes, sizes
 
 
-_AC_BYTE = _units(np.sign(_VALUE) * (np.abs(_VALUE) >> 1), 8).astype(np.uint8)
-
+#: Fixed codes: letters have magnitudes of six bits or five, zeros little but at the end.
+_DC_TABLE = _table(0x00, {0: 3, 1: 5, 2: 4, 3: 3, 4: 3, 5: 3, 6: 3, 7: 3, 8: 6})
+_AC_TABLE = _table(0x10, {r << 4 | s: 12 for r in range(16) for s in range(8)} | {0x00: 6, 6: 1, 5: 2, 7: 4, 4: 4, 3: 5, 2: 6, 1: 6})
+_MORE_TABLE = _table(0x11, {r << 4 | s: 7 for r in range(16) for s in range(2)} | {0x00: 2, 0x01: 2, 0x11: 3})
+_FLAT = _segment(0xDB, bytes([0, *([1] * 64)]))
+_MCU = 6  # blocks of an MCU: Y two by two, Cb, Cr
+_LONGEST = 32767  # blocks an end of band can cover
+_BLOCKS = 1 << 14  # blocks whose units are made at a time
 
-def _entropy(raw: np.ndarray) -> bytes:
-    return raw.tobytes().replace(b"\xff", b"\xff\x00")
 
+def _bit_strings(units: np.ndarray, sizes: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """For each file numbers of ``sizes`` bits (at most 32 each) one after the other, then ones up to a byte.
 
-def _bit_string(bits: np.ndarray) -> bytes:
-    pad = -len(bits) % 8
-    return _entropy(np.packbits(np.concatenate([bits, np.ones(pad, np.uint8)]) if pad else bits))
+    ``edges`` holds each file's first number, and behind the last file's the end.
+    """
+    end = np.cumsum(sizes, dtype=np.int64)
+    edge = np.where(edges > 0, end[edges - 1], 0) if len(end) else np.zeros(len(edges), np.int64)
+    bits = edge[1:] - edge[:-1]
+    words = np.concatenate([[0], np.cumsum((bits + 31) >> 5)])
+    shift = 32 * words[:-1] - edge[:-1]
+    out = np.zeros(words[-1] + 1, np.uint32)
+    for lo in range(0, len(units), _PIECE):
+        part = slice(lo, lo + _PIECE)
+        at = end[part] - sizes[part]
+        inside = np.clip(edges - lo, 0, len(at))
+        at += np.repeat(shift, inside[1:] - inside[:-1])
+        word = at >> 5
+        new = np.ones(len(word), bool)
+        new[1:] = word[1:] != word[:-1]
+        first = np.flatnonzero(new)
+        both = np.bitwise_or.reduceat(units[part].astype(np.uint64) << (64 - sizes[part] - (at & 31)).astype(np.uint64), first)
+        out[word[first]] |= (both >> np.uint64(32)).astype(np.uint32)
+        out[word[first] + 1] |= both.astype(np.uint32)
+    raw = bytearray(out.astype(">u4").tobytes())
+    found = []
+    for w, n in zip(words[:-1].tolist(), bits.tolist(), strict=True):
+        part = raw[4 * w : 4 * w + (n + 7) // 8]
+        if n:
+            part[-1] |= (1 << -n % 8) - 1
+        found.append(bytes(part.replace(b"\xff", b"\xff\x00")))
+    return found
+
+
+def _sized(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of each value's magnitude and those bits."""
+    size = _SIZE[np.abs(values)]
+    return size, np.where(values < 0, values + (1 << size) - 1, values)
+
+
+_SIZE = np.array([k.bit_length() for k in range(256)])
+
+
+def _band(values: np.ndarray, table: tuple[bytes, np.ndarray, np.ndarray], edges: np.ndarray, known: np.ndarray | None = None, low: np.ndarray | None = None) -> list[bytes]:
+    """One AC scan of each file over rows of ``values``, a block's band each: the coefficients that become known.
+
+    Files begin at the blocks ``edges`` (and end at its last). In a refinement ``known`` marks those known before (whose ``values`` are zero) and ``low`` has their next bits.
+    """
+    made = []
+    for a in range(0, len(values), _BLOCKS):
+        some = slice(a, a + _BLOCKS)
+        made.append(_band_units(values[some], table, np.clip(edges - a, 0, len(values[some])), *(None if x is None else x[some] for x in (known, low))))
+    units, sizes, cuts = zip(*made, strict=True)
+    return _bit_strings(np.concatenate(units), np.concatenate(sizes), sum(cuts))
+
+
+def _band_units(values: np.ndarray, table: tuple[bytes, np.ndarray, np.ndarray], edges: np.ndarray, known: np.ndarray | None, low: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units of some blocks of ``_band``, their sizes, and how many come before each file."""
+    _, codes, sizes = table
+    n, width = values.shape
+    known = None if known is None or not known.any() else known.ravel()
+    place = np.flatnonzero(values)
+    block = place // width
+    lead = np.ones(len(block), bool)  # first of its block
+    lead[1:] = block[1:] != block[:-1]
+    # runs count the coefficients that are not known
+    rank = None if known is None else np.concatenate([[0], np.cumsum(~known)])
+    zeros_before = (lambda x: x) if rank is None else rank.__getitem__
+    begin = np.where(lead, zeros_before(block * width), zeros_before(np.concatenate([[-1], place[:-1]]) + 1))
+    run = zeros_before(place) - begin
+    size, extra = _sized(values.ravel()[place].astype(np.int64))
+    kind = (run & 15) << 4 | size
+    unit, bits, to = codes[kind] << size | extra, sizes[kind] + size, place + 1
+
+    # a block's rest is an end of band, with the blocks behind it that hold nothing
+    has, full, alone = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n + 1, bool)
+    has[block], full[block[to % width == 0]] = True, True
+    alone[edges] = True
+    alone[:n] |= has
+    start = alone[:n].copy()
+    start[1:] |= full[:-1]
+    start = np.flatnonzero(start & ~full)
+    holders = np.flatnonzero(alone)
+    count = holders[np.searchsorted(holders, start, "right")] - start
+    if len(count) and count.max() > _LONGEST:
+        parts = -(-count // _LONGEST)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        start, count = np.repeat(start, parts) + nth * _LONGEST, np.minimum(np.repeat(count, parts) - nth * _LONGEST, _LONGEST)
+    power = np.frexp(count.astype(float))[1] - 1
+    more_unit, more_bits, more_to = codes[power << 4] << power | count - (1 << power), sizes[power << 4] + power, (start + count) * width
+    if (run > 15).any():
+        times = run >> 4
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        last = np.repeat(begin, times) + 16 * nth + 15  # the run's sixteenth
+        last = last if known is None else np.flatnonzero(~known)[last]
+        more_unit = np.concatenate([more_unit, np.full(len(last), codes[0xF0])])
+        more_bits = np.concatenate([more_bits, np.full(len(last), sizes[0xF0])])
+        more_to = np.concatenate([more_to, last + 1])
+        order = np.argsort(more_to)
+        more_unit, more_bits, more_to = more_unit[order], more_bits[order], more_to[order]
+    unit, bits, to = _merged(np.searchsorted(to, more_to), (unit, more_unit), (bits, more_bits), (to, more_to))
+    cuts = np.searchsorted(to, edges * width, "right")
+    if known is not None:  # behind each unit the bits of the known ones that it passes
+        passed = np.zeros_like(to)
+        passed[1:] = to[:-1]
+        unit, bits = _merged(passed - rank[passed], (low.ravel()[known], unit), (np.ones(n * width - rank[-1], np.int64), bits))
+        cuts = cuts + edges * width - rank[edges * width]
+    return unit.astype(np.uint32), bits.astype(np.uint8), cuts
+
+
+def _merged(spot: np.ndarray, *pairs: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """The second array of each pair put into the first, before its elements ``spot``."""
+    if not len(spot):
+        return [a for a, _ in pairs]
+    spot = spot + np.arange(len(spot))
+    rest = np.ones(len(pairs[0][0]) + len(spot), bool)
+    rest[spot] = False
+    found = []
+    for a, b in pairs:
+        out = np.empty(len(rest), b.dtype)
+        out[spot], out[rest] = b, a
+        found.append(out)
+    return found
 
 
 def _sos(parts: list[int], table: int, ss: int, se: int, ah: int, al: int) -> bytes:
     return _segment(0xDA, bytes([len(parts), *(x for c in parts for x in (c, table)), ss, se, ah << 4 | al]))
 
 
-def _refined(blocks: np.ndarray) -> bytes:
-    """Low bits of each block's AC magnitudes, behind the end-of-band code."""
-    low = _LOW[blocks]
-    low[:, 0] = 0
-    return _entropy(np.packbits(low.ravel()))
+def encode_payload(payload: bytes) -> bytes:
+    """``payload`` (a multiple of 64 bytes) as a file: see ``encode_payloads``."""
+    return encode_payloads([payload])[0]
 
 
-def encode_payload(payload: bytes) -> bytes:
-    """A progressive YCbCr file, chroma halved both ways, whose coefficients are ``payload`` (a multiple of 64 bytes).
+def encode_payloads(payloads: list[bytes]) -> list[bytes]:
+    """Progressive YCbCr files, chroma halved both ways, whose coefficients are the ``payloads`` (multiples of 64 bytes).
 
-    Six blocks in turn make an MCU: four of Y, one of Cb, one of Cr.
+    Six blocks in turn make an MCU: four of Y, one of Cb, one of Cr. Files are made side by
+    side; none depends on the others.
     """
-    n = -(-len(payload) // (64 * _MCU))
-    rows = max(1, min(4000, -(-n // 16)))  # a side holds at most 65535 samples
-    cols = max(1, -(-n // rows))
-    data = np.zeros(rows * cols * _MCU * 64, np.uint8)
-    data[: len(payload)] = np.frombuffer(payload, np.uint8)
-    data = data.reshape(rows, cols, _MCU, 64)
-    y = data[:, :, :4].reshape(rows, cols, 2, 2, 64).transpose(0, 2, 1, 3, 4).reshape(-1, 64)
-    cb, cr = data[:, :, 4].reshape(-1, 64), data[:, :, 5].reshape(-1, 64)
-    dc = _VALUE[data[..., 0].reshape(-1, _MCU)]
+    if not payloads:
+        return []
+    n = -(-np.array([len(x) for x in payloads]) // (64 * _MCU))
+    rows = np.clip(-(-n // 16), 1, 4000)  # a side holds at most 65535 samples
+    cols = np.maximum(1, -(-n // rows))
+    n = rows * cols
+    edges = np.concatenate([[0], np.cumsum(n)])
+    data = np.frombuffer(b"".join(x.ljust(64 * _MCU * k, b"\0") for x, k in zip(payloads, n.tolist(), strict=True)), np.int8).reshape(-1, _MCU, 64)
+    # Y's blocks row by row
+    wide = np.repeat(2 * cols, 4 * n)
+    down, across = np.divmod(np.arange(4 * len(data)) - np.repeat(4 * edges[:-1], 4 * n), wide)
+    y = data[np.repeat(edges[:-1], 4 * n) + (down >> 1) * (wide >> 1) + (across >> 1), (down & 1) * 2 + (across & 1)]
+    cb, cr = data[:, 4], data[:, 5]
+    dc = data[:, :, 0].astype(np.int64)
     half = dc >> 1
-    diff = np.column_stack([np.diff(half[:, :4].ravel(), prepend=0).reshape(-1, 4), np.diff(half[:, 4:], axis=0, prepend=0)])
-    bits = (_units(diff, 9)[..., None] >> np.arange(8, -1, -1) & 1).astype(np.uint8).ravel()
-    return b"".join(
-        [
-            b"\xff\xd8",
-            _segment(0xFE, struct.pack(">Q", len(payload))),
-            _FLAT,
-            _segment(0xC2, struct.pack(">BHHB", 8, rows * 16, cols * 16, 3) + bytes([1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0])),
-            _DC_TABLE + _AC_TABLE + _EOB_TABLE,
-            _sos([1, 2, 3], 0x00, 0, 0, 0, 1) + _bit_string(bits),
-            _sos([1], 0x00, 1, 5, 0, 1) + _entropy(_AC_BYTE[y[:, 1:6]]),
-            _sos([3], 0x00, 1, 63, 0, 1) + _entropy(_AC_BYTE[cr[:, 1:]]),
-            _sos([2], 0x00, 1, 63, 0, 1) + _entropy(_AC_BYTE[cb[:, 1:]]),
-            _sos([1], 0x00, 6, 63, 0, 1) + _entropy(_AC_BYTE[y[:, 6:]]),
-            _sos([1, 2, 3], 0x00, 0, 0, 1, 0) + _bit_string((dc & 1).astype(np.uint8).ravel()),
-            _sos([3], 0x01, 1, 63, 1, 0) + _refined(cr),
-            _sos([2], 0x01, 1, 63, 1, 0) + _refined(cb),
-            _sos([1], 0x01, 1, 63, 1, 0) + _refined(y),
-            b"\xff\xd9",
-        ]
-    )
+    ahead = half[:, [3, 0, 1, 2, 4, 5]]  # what each is predicted from: the same component's block before
+    ahead[1:, [0, 4, 5]] = half[:-1, [3, 4, 5]]
+    ahead[edges[:-1, None], [0, 4, 5]] = 0
+    size, extra = _sized((half - ahead).ravel())
+
+    def first(part: np.ndarray, at: np.ndarray) -> list[bytes]:
+        return _band((part + (part < 0)) >> 1, _AC_TABLE, at)  # halves, towards zero
+
+    def more(part: np.ndarray, at: np.ndarray) -> list[bytes]:
+        new = np.abs(part) == 1
+        return _band(np.where(new, part, 0), _MORE_TABLE, at, (part != 0) & ~new, part & 1)
+
+    scans = [
+        (_sos([1, 2, 3], 0x00, 0, 0, 0, 1), _bit_strings(_DC_TABLE[1][size] << size | extra, _DC_TABLE[2][size] + size, _MCU * edges)),
+        (_sos([1], 0x00, 1, 5, 0, 1), first(y[:, 1:6], 4 * edges)),
+        (_sos([3], 0x00, 1, 63, 0, 1), first(cr[:, 1:], edges)),
+        (_sos([2], 0x00, 1, 63, 0, 1), first(cb[:, 1:], edges)),
+        (_sos([1], 0x00, 6, 63, 0, 1), first(y[:, 6:], 4 * edges)),
+        (_sos([1, 2, 3], 0x00, 0, 0, 1, 0), _bit_strings((dc & 1).ravel(), np.ones(dc.size, np.int64), _MCU * edges)),
+        (_sos([3], 0x01, 1, 63, 1, 0), more(cr[:, 1:], edges)),
+        (_sos([2], 0x01, 1, 63, 1, 0), more(cb[:, 1:], edges)),
+        (_sos([1], 0x01, 1, 63, 1, 0), more(y[:, 1:], 4 * edges)),
+    ]
+    tables = _DC_TABLE[0] + _AC_TABLE[0] + _MORE_TABLE[0]
+    files = []
+    for i, (payload, high, wide) in enumerate(zip(payloads, (16 * rows).tolist(), (16 * cols).tolist(), strict=True)):
+        frame = _segment(0xC2, struct.pack(">BHHB", 8, high, wide, 3) + bytes([1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0]))
+        files.append(b"".join([b"\xff\xd8", _segment(0xFE, struct.pack(">Q", len(payload))), _FLAT, frame, tables, *(x for head, made in scans for x in (head, made[i])), b"\xff\xd9"]))
+    return files
 
 
 def read_payload(frame: Frame) -> bytes:
@@ -418,8 +680,7 @@ def read_payload(frame: Frame) -> bytes:
     (n,) = struct.unpack(">Q", frame.comment)
     # each component's blocks in MCU order
     parts = [c.coef.reshape(frame.mh, c.v, frame.mw, c.h, 64).transpose(0, 2, 1, 3, 4).reshape(frame.mh, frame.mw, c.h * c.v, 64) for c in frame.parts]
-    v = np.concatenate(parts, axis=2).reshape(-1)[:n]
-    return np.where(v < 0, v + 129, v + 126).astype(np.uint8).tobytes()
+    return np.concatenate(parts, axis=2).reshape(-1)[:n].astype(np.int8).tobytes()
 
 
 def features(rgb: np.ndarray) -> str:
@@ -465,10 +726,10 @@ def encode_texts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 18):
                 data, off = utf8(part.column("text"))
                 raw = data.tobytes()
-                media = [encode_payload(padded(raw[a:b])) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                media = encode_payloads([padded(raw[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(off)), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
